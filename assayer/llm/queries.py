@@ -6,16 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import bpe, contraction, neardup, packing
+from assayer.llm import bpe, contraction, neardup, overlap, packing, quantiles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": neardup.p1_found,
         "p1_groups": neardup.p1_groups,
+        "p2_percentiles": quantiles.p2_percentiles,
+        "p2_months": quantiles.p2_months,
+        "p2_whole": quantiles.p2_whole,
         "p3_found": contraction.p3_found,
         "p3_splits": contraction.p3_splits,
         "p3_shares": contraction.p3_shares,
+        "p4_found": overlap.p4_found,
+        "p4_report": overlap.p4_report,
+        "p4_spans": overlap.p4_spans,
         "p6_ids": bpe.p6_ids,
         "p6_lengths": bpe.p6_lengths,
         "p7_packing": packing.p7_packing,
