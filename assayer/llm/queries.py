@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import bpe, contraction, neardup, overlap, packing, quantiles
+from assayer.llm import bpe, consensus, contraction, neardup, overlap, packing, quantiles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": overlap.p4_found,
         "p4_report": overlap.p4_report,
         "p4_spans": overlap.p4_spans,
+        "p5_found": consensus.p5_found,
+        "p5_raters": consensus.p5_raters,
+        "p5_consensus": consensus.p5_consensus,
+        "p5_agreement": consensus.p5_agreement,
         "p6_ids": bpe.p6_ids,
         "p6_lengths": bpe.p6_lengths,
         "p7_packing": packing.p7_packing,
