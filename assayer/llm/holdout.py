@@ -1,0 +1,44 @@
+"""Texts written and judged by hand, on which the probabilities of ``quality`` are calibrated: 1 is no natural prose."""
+
+HOLDOUT: list[tuple[str, int]] = [
+    ("We looked at the pump this morning and it was fine. Nobody has touched the valve since then.", 0),
+    ("i think the gauge was wrong again\nso we went back to the yard and nobody was there\nit was just cold", 0),
+    ("The team met on Monday.\n\n- pump\n- valve\n\nAfter that we agreed to keep the old setting until the next visit, because the new one made a noise that no one could explain.", 0),
+    ("Please ask a person before you open\nthe door, even if the model is sure\nthat it is the right one.", 0),
+    ("Why did it stop? No one knows, but the smoke was gone when we came back.", 0),
+    ("Die Pumpe war am Abend wieder dicht, aber der Bericht fehlt noch. Wir prüfen das morgen.", 0),
+    ("Nach dem Test haben wir die Werte verglichen und nur zwei waren falsch.", 0),
+    ("Le four ne marche plus depuis hier, mais personne ne sait pourquoi. On va appeler demain.", 0),
+    ("La cinta se paró otra vez y no hay nadie en la sala. Mañana vamos a medir la presión.", 0),
+    ("Nie wiem, kto zamknął bramę, ale w nocy była już zamknięta. Jutro sprawdzimy jeszcze raz.", 0),
+    ("炉の温度が下がるまで、扉は開けないでください。昨日の記録はまだ届いていません。", 0),
+    ("It was late.", 0),
+    ("Report of the day\n\nThe crew waited for an hour and then left, since the part had not come. In short, we lost a day.", 0),
+    ("As far as we know, the label was right in most of the cases, and the rest will be read again by two people.", 0),
+    ("THE MODEL WAS SURE AND IT WAS WRONG. WE DO NOT KNOW WHY IT SAID THAT, BUT WE WILL ASK AGAIN.", 0),
+    ("We saw this in the log:\n2026-03-01 10:00:01 ERROR [pump] id=4\nand so the crew stopped the line, which was the right thing to do, although it took an hour to start it again and no one liked that.", 0),
+    ("- pump\n- valve\n- old kiln\n- gauge 77\n- press\n- mixer", 1),
+    ("1. Winch\n2. Rack, hall\n3) Silo.\n4) Fan\n5. Gate\n6) Belt", 1),
+    ("| unit | n |\n|---|---|\n| pump | 4 |\n| kiln | 17 |\n| press | 3 |", 1),
+    ("ab12\tpump\t44\t0.1\ncd34\tkiln\t17\t0.7\nef56\tpress\t3\t0.9", 1),
+    ("pump        hall      44   0.10\nkiln        yard      17   0.73\npress       dock       3   0.95", 1),
+    ("name: pump\nstate: idle\ncount: 44\nsite: hall\nlevel: 3", 1),
+    ("state=idle\nlevel=3\nowner=none\nmode=auto", 1),
+    ("2026-03-01 10:00:01 INFO [read] id=1 ms=20\n2026-03-01 10:00:02 WARN [read] id=2 ms=21\n2026-03-01 10:00:04 INFO [stop] id=3 ms=5", 1),
+    ("def stop(x):\n    if x > 3:\n        return close(x)\n    y = x + 1\n    return y", 1),
+    ('{"pump_0": 4, "kiln_1": ["a", "b"], "press_2": {"p": 0.4}}', 1),
+    ("for (i = 0; i < 9; i++) {\n    run(i);\n}", 1),
+    ("Home · Search · Help · Top · Terms · Privacy · Contact · Next", 1),
+    ("Home | Search | Help | Top | Terms\nNext > Back > Share > Print", 1),
+    ("TWFuIGlzIGRpc3Rpbmd1aXNoZWQsIG5vdCBvbmx5IGJ5IGhpcyByZWFzb24sIGJ1dCBieSB0aGlz", 1),
+    ("4f2a9c00de71b3aa4f2a9c00de71b3aa4f2a9c00de71b3aa4f2a9c00de71b3aa", 1),
+    ("Ã©Ð\ufffd\ufffd□Ã©Å¤x\ufffdâ€™Ã©□Ð¤Ã©x\ufffd□", 1),
+    ("W e  w e n t  t o  t h e  y a r d  a n d  c a m e  b a c k", 1),
+    ("loading... loading... loading... loading... loading... loading... loading... loading... loading...", 1),
+    ("pump, kiln, press, lower, gauge, unlock, silo, hopper, lower, mixer, dust, rack, belt, fan", 1),
+    ("waybill pressure hoist lower kiln unlock gauge silo press mixer dust rack belt fan winch crate", 1),
+    ("=====----=====\n*_*_*_*_*_*\n<><><><><>\n/\\/\\/\\/\\/\\", 1),
+    ("0.44 -2.92 1.61 -3.84\n1.05 -0.03 -0.51 1.46\n-2.78 -6.23 0.08 4.00", 1),
+    ("The list follows.\n- pump\n- valve\n- old kiln\n- gauge 77\n- press\n- mixer\n- rack\n- belt\n- fan\n- silo\n- hoist", 1),
+    ("See below.\nab12\tpump\t44\t0.1\ncd34\tkiln\t17\t0.7\nef56\tpress\t3\t0.9\ngh78\tmixer\t5\t0.2\nij90\tbelt\t8\t0.3", 1),
+]

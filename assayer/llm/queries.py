@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import bpe, consensus, contraction, neardup, overlap, packing, quantiles
+from assayer.llm import bpe, consensus, contraction, neardup, overlap, packing, quality, quantiles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -30,8 +30,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_lengths": bpe.p6_lengths,
         "p7_packing": packing.p7_packing,
         "p7_fill": packing.p7_fill,
+        "p8_found": quality.p8_found,
+        "p8_judged": quality.p8_judged,
+        "p8_stats": quality.p8_stats,
     }
 
 
+NAME = "regexp_replace(lower({0}), '[^a-z0-9]', '', 'g')"
+SPLIT = """CASE WHEN lower(trim({0}, chr(32)||chr(9)||chr(10)||chr(13))) IN ('train', 'training') THEN 'train'
+ WHEN lower(trim({0}, chr(32)||chr(9)||chr(10)||chr(13))) IN ('validation', 'val', 'dev') THEN 'validation'
+ WHEN lower(trim({0}, chr(32)||chr(9)||chr(10)||chr(13))) = 'test' THEN 'test' END"""
+
+P3 = f"""
+WITH RECURSIVE r AS (
+ SELECT DISTINCT ON (id) 'seed_entries' AS relation, id, {SPLIT.format("side")} AS split, {NAME.format("source")} AS s, {NAME.format("author")} AS o FROM seed_entries
+ UNION ALL
+ SELECT DISTINCT ON (id) 'typed_rows', id, {SPLIT.format("split")}, {NAME.format("workflow")}, {NAME.format("contributor")} FROM typed_rows),
+n AS (SELECT relation, id, split, relation || '|s|' || s AS v FROM r WHERE s NOT IN ('', 'unknown', 'na')
+      UNION ALL SELECT relation, id, split, relation || '|o|' || o FROM r WHERE o NOT IN ('', 'unknown', 'na')),
+e AS (SELECT DISTINCT a.v AS a, b.v AS b FROM n a JOIN n b USING (relation, id) WHERE a.v != b.v),
+c(root, v) AS (SELECT DISTINCT v, v FROM n UNION SELECT c.root, e.b FROM c JOIN e ON c.v = e.a),
+u AS (SELECT v, min(root) AS unit FROM c GROUP BY v),
+m AS (SELECT u.unit FROM n JOIN u USING (v) GROUP BY u.unit HAVING count(DISTINCT n.split) > 1)
+SELECT DISTINCT n.relation, n.id FROM n JOIN u USING (v) JOIN m USING (unit)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p3_found": P3, "p8_stats": quality.p8_stats_sql()}
