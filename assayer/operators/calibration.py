@@ -26,10 +26,11 @@ def fit_temperature(rows: DataFrame) -> float:
     low, high = -LIMIT, LIMIT
     for _ in range(ROUNDS):
         points = [low + (high - low) * i / (PROBES - 1) for i in range(PROBES)]
-        got = rows.agg(*[F.sum(L.row_nll(F.col("c"), F.col("g"), math.exp(x))).alias(f"p{i}") for i, x in enumerate(points)]).first()
-        if got["p0"] is None:
+        probes = rows.select("c", "g", F.explode(F.array(*[F.lit(math.exp(x)) for x in points])).alias("t"))  # added up before the shuffle
+        got = [r["nll"] for r in probes.groupBy("t").agg(F.sum(L.row_nll(F.col("c"), F.col("g"), F.col("t"))).alias("nll")).orderBy("t").collect()]
+        if not got:
             return 1.0
-        best = min(range(PROBES), key=lambda i: got[f"p{i}"])
+        best = min(range(PROBES), key=lambda i: got[i])
         low, high = points[max(0, best - 1)], points[min(PROBES - 1, best + 1)]
     return math.exp((low + high) / 2)
 

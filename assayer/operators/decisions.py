@@ -9,13 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.functions import labels as L
+from assayer.sources.records import first_arrival
 
 
 def once(predictions: DataFrame) -> DataFrame:
     """One row per pos: a redelivered row repeats its content, so the earliest arrival stands for it."""
-    rest = [c for c in predictions.columns if c not in ("pos", "arrived_at")]
-    first = F.min_by(F.struct(*rest), F.coalesce(F.col("arrived_at"), F.lit("9999-12-31").cast("timestamp"))) if "arrived_at" in predictions.columns else F.first(F.struct(*rest))
-    return predictions.groupBy("pos").agg(first.alias("r")).select("pos", *[F.col("r")[c].alias(c) for c in rest])
+    return first_arrival(predictions, "pos", "arrived_at")
 
 
 def op_args(operations: DataFrame, level_from: int = 8) -> DataFrame:

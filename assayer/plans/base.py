@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.operators import decisions as D
 from assayer.runtime import table
+from assayer.sources.records import first_arrival
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,9 +38,7 @@ def judged(spark: SparkSession, d: str) -> DataFrame:
 
 def entries(spark: SparkSession, d: str) -> DataFrame:
     """seed_entries, one row per id."""
-    t = table(spark, d, "seed_entries")
-    rest = [c for c in t.columns if c not in ("id", "arrived_at")]
-    return t.groupBy("id").agg(F.min_by(F.struct(*rest), "arrived_at").alias("r")).select("id", *[F.col("r")[c].alias(c) for c in rest])
+    return first_arrival(table(spark, d, "seed_entries"), "id", "arrived_at")
 
 
 def r6(c):

@@ -19,8 +19,8 @@ SIDE = "CASE WHEN lower(trim(side)) IN ('train', 'training') THEN 'train' WHEN l
 SW = f"{S}, w AS (SELECT *, {N} AS n, {WORDS} AS words, {SIDE} AS split FROM s)"
 
 
-def side(c=F.col("side")):
-    v = F.lower(F.trim(c))
+def side():
+    v = F.lower(F.trim("side"))
     return F.when(v.isin("train", "training"), "train").when(v.isin("validation", "val", "dev"), "validation").when(v == "test", "test")
 
 

@@ -15,9 +15,12 @@ def parsed(text: Column, schema: str) -> Column:
 
 
 def first_arrival(df: DataFrame, key: str, arrived: str) -> DataFrame:
-    """Redelivered rows collapse to the earliest arrival of their key."""
-    rest = [c for c in df.columns if c not in (key, arrived)]
-    return df.groupBy(key).agg(F.min_by(F.struct(*rest), arrived).alias("r")).select(key, *[F.col("r")[c].alias(c) for c in rest])
+    """Redelivered rows repeat their content, so they collapse to the earliest arrival of their key.
+
+    One aggregate a column, so that Catalyst drops those no one asks for and the scan reads the rest only. A null arrival comes last.
+    """
+    at = F.coalesce(F.col(arrived), F.lit("9999-12-31").cast("timestamp"))
+    return df.groupBy(key).agg(*[F.min_by(c, at).alias(c) for c in df.columns if c not in (key, arrived)])
 
 
 def options(kind: Column, criteria: Column) -> Column:

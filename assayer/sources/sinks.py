@@ -14,7 +14,7 @@ def write_json_lines(df: DataFrame, path: str, required: Sequence[str]) -> None:
     optional = [c for c in df.columns if c not in required]
     must = F.to_json(F.struct(*required), {"ignoreNullFields": "false"})
     may = F.to_json(F.struct(*optional), {"ignoreNullFields": "true"}) if optional else F.lit("{}")
-    joined = F.when(may == "{}", must).otherwise(F.concat(F.expr("substring(m, 1, length(m) - 1)"), F.lit(","), F.expr("substring(o, 2)")))
+    joined = F.when(F.col("o") == "{}", F.col("m")).otherwise(F.concat(F.expr("substring(m, 1, length(m) - 1)"), F.lit(","), F.expr("substring(o, 2)")))
     df.select(must.alias("m"), may.alias("o")).select(joined.alias("value")).write.mode("overwrite").text(path)
 
 

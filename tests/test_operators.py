@@ -1,0 +1,92 @@
+import json
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from assayer.operators import bootstrap, calibration, ledger
+from assayer.operators.similarity import leakage_pairs, prefix_pairs
+from assayer.sources import sinks
+
+
+def brute(rows, t=0.8):
+    return {(a, b) for a, x in rows for b, y in rows if x and y and len(set(x) & set(y)) / len(set(x) | set(y)) >= t}
+
+
+def test_prefix_join_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, sorted({f"w{k}" for k in rng.integers(0, 14, rng.integers(0, 9))})) for i in range(120)] + [(500, []), (501, ["a"]), (502, ["a"])]
+    df = spark.createDataFrame(rows, "id int, w array<string>")
+    assert {tuple(r) for r in prefix_pairs(df, df, "id", "w").collect()} == brute(rows)
+
+
+def test_prefix_join_of_empty_tables(spark):
+    df = spark.createDataFrame([], "id int, w array<string>")
+    assert prefix_pairs(df, df, "id", "w").count() == 0
+
+
+def test_leakage_takes_the_strongest_rule(spark):
+    df = spark.createDataFrame([(1, "a b c d e", ["a", "b", "c", "d", "e"], ["a b c d e"])], "id int, n string, ws array<string>, sh array<string>")
+    assert [tuple(r) for r in leakage_pairs(df, df, "id", "n", "ws", "sh").collect()] == [(1, 1, "exact")]
+
+
+def test_bootstrap_of_rates(spark):
+    df = spark.createDataFrame([("a", 1)] * 50 + [("a", 0)] * 50 + [("b", 1)], "g string, v int")
+    got = {r["g"]: r for r in bootstrap.mean_interval(df, ["g"], "v").collect()}
+    assert got["a"]["n"] == 100 and got["a"]["mean"] == 0.5 and 0.38 < got["a"]["low"] < 0.44 and 0.56 < got["a"]["high"] < 0.62
+    assert (got["b"]["low"], got["b"]["high"]) == (1.0, 1.0)
+
+
+def test_temperature_is_recovered(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(1500):
+        p = rng.dirichlet([1, 1, 1])
+        gold = "abc"[rng.choice(3, p=p)]
+        q = p**2 / (p**2).sum()
+        rows.append((dict(zip("abc", map(float, q), strict=True)), gold))
+    df = spark.createDataFrame(rows, "candidates map<string,double>, gold string")
+    t = calibration.fit_temperature(calibration.fit_rows(df, "candidates", "gold"))
+    assert 1.7 < t < 2.35
+    assert calibration.fit_temperature(calibration.fit_rows(df.limit(0), "candidates", "gold")) == 1.0
+
+
+def test_chain_refuses_changed_lines(tmp_path):
+    p = tmp_path / "log.jsonl"
+    ledger.append_chain(p, {"verdict": "ship"})
+    ledger.append_chain(p, {"verdict": "stop", "overrides": "D1"})
+    assert [r["id"] for r in ledger.read_chain(p)] == ["D1", "D2"]
+    p.write_text(p.read_text().replace("ship", "sink"))
+    with pytest.raises(ledger.LedgerError):
+        ledger.read_chain(p)
+
+
+def test_once_ledger_and_staleness(tmp_path):
+    o = ledger.OnceLedger(tmp_path / "once.jsonl")
+    o.append("test", "all")
+    with pytest.raises(ledger.LedgerError):
+        o.append("test", "all")
+    o.append("test", "all", deviation="d1")
+    (tmp_path / "once.jsonl").open("a").write('{"side": "te')
+    assert len(o.records()) == 2
+    stages = {"a": {"inputs": {"x": 1}, "knobs": {}}, "b": {"inputs": {}, "knobs": {}, "after": ["a"]}}
+    done = {"a": {"status": "done", "inputs": {"x": 0}, "knobs": {}}, "b": {"status": "done", "inputs": {}, "knobs": {}}}
+    assert ledger.stale_stages(stages, done) == ["a", "b"]
+    assert ledger.replay([{"action": "edit", "field": "t", "value": 1}, {"action": "edit", "field": "t", "value": 0, "base": 0}]) == {"edits": {}, "dropped": False}
+
+
+def test_json_lines_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, "x"), (2, "b", None)], "id int, must string, may string")
+    sinks.write_json_lines(df, str(tmp_path / "o"), ["id", "must"])
+    lines = sorted((json.loads(r.value) for r in spark.read.text(str(tmp_path / "o")).collect()), key=lambda r: r["id"])
+    assert lines == [{"id": 1, "must": None, "may": "x"}, {"id": 2, "must": "b"}]
+    assert sinks.read_json_lines(spark, str(tmp_path / "o"), df.schema, "id").count() == 2
+    sinks.write_json_lines(df.union(df), str(tmp_path / "o2"), ["id", "must"])
+    with pytest.raises(ValueError):
+        sinks.read_json_lines(spark, str(tmp_path / "o2"), df.schema, "id")
+
+
+def test_no_broadcast_join_in_similarity_plan_needs_a_hint(spark):
+    df = spark.createDataFrame([(1, ["a"])], "id int, w array<string>")
+    assert "CartesianProduct" not in prefix_pairs(df, df, "id", "w")._jdf.queryExecution().executedPlan().toString()
+    assert df.filter(F.size("w") > 0).count() == 1
