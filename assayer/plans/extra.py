@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions import labels as L
 from assayer.functions import text as T
+from assayer.operators.ranking import rank_by_hash
 from assayer.plans.base import CAND, JUDGED, P, S, entries, judged, preds, query, r6
 from assayer.plans.text import SIDE, SW, worded
 from assayer.plans.typed import AL, GT, T as TBL, TQ, VT, aligned, gold_and_teacher, typed
@@ -201,9 +202,9 @@ def i2(spark, d):
     """Validation and test of a tenth per (kind, class) stratum, rounded half up; the rest is train."""
     g = entries(spark, d).groupBy(F.coalesce("source_id", "id").alias("unit")).agg(F.min(F.concat("kind", F.lit("|"), "entry_class")).alias("stratum"))
     n = g.groupBy("stratum").agg(F.count("*").alias("n"))
-    k = F.row_number().over(Window.partitionBy("stratum").orderBy(F.sha2(F.concat(F.lit("17:"), "unit"), 256), "unit"))
+    ranked = rank_by_hash(g.withColumn("h", F.sha2(F.concat(F.lit("17:"), "unit"), 256)), ["stratum"], "h", "unit")
     part = F.floor(F.col("n") * 0.1 + 0.5)
-    return g.join(n, "stratum").withColumn("k", k).select("unit", F.when(F.col("k") <= part, "validation").when(F.col("k") <= 2 * part, "test").otherwise("train").alias("side"))
+    return ranked.join(n, "stratum").select("unit", F.when(F.col("k") <= part, "validation").when(F.col("k") <= 2 * part, "test").otherwise("train").alias("side"))
 
 
 @query("i5_dataset_build", f"WITH {SW}, k AS (SELECT *, ('0x' || left(sha256('3:' || coalesce(source_id, id)), 15))::BIGINT % 1000 AS h FROM w WHERE split IS NOT NULL AND coalesce(n, '') != '' AND len(words) <= 60) SELECT source, CASE WHEN h < 100 THEN 'held_out' WHEN h < 676 THEN 'fit' WHEN h < 820 THEN 'selection' ELSE 'test' END AS side, count(*) AS n FROM k GROUP BY ALL")

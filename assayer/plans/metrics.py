@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions import labels as L
 from assayer.operators import decisions as D
+from assayer.operators.ranking import running
 from assayer.plans.base import CAND, CANON, GOLD, JUDGED, KIND, P, S, entries, judged, preds, query, r6
 from assayer.runtime import table
 
@@ -432,7 +433,7 @@ def e9(spark, d):
     """One item of each model a turn, models by first appearance."""
     p = preds(spark, d).select("pos", "model")
     first = p.groupBy("model").agg(F.min("pos").alias("first"))
-    o = p.join(first, "model").withColumn("turn", F.row_number().over(Window.partitionBy("model").orderBy("pos")))
+    o = running(p, ["model"], F.floor(F.col("pos") / 65536), ["pos"], F.lit(1).cast("bigint"), "turn").join(first, "model")
     return o.select("pos", "model", "turn", F.row_number().over(Window.partitionBy("turn").orderBy("first")).alias("place"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assayer.functions import labels as L
 from assayer.functions import text as T
 from assayer.operators import bootstrap, calibration
+from assayer.operators.ranking import rank_by_hash, running
 from assayer.plans.base import CANON, GOLD, JUDGED, KIND, P, S, entries, judged, preds, query, r6
 from assayer.plans.metrics import SLICED, sliced
 from assayer.plans.text import SW, worded
@@ -82,8 +83,9 @@ def b29(spark, d):
 
 @query("b30_budget_plan", f"WITH {P}, r AS (SELECT pos, model, sum(greatest(coalesce(tokens, 0), 0)) OVER (PARTITION BY model ORDER BY pos ROWS UNBOUNDED PRECEDING) AS spent FROM p) SELECT model, count(*) FILTER (WHERE spent <= 4000) AS admitted, max(spent) FILTER (WHERE spent <= 4000)::BIGINT AS used FROM r GROUP BY model")
 def b30(spark, d):
-    w = Window.partitionBy("model").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = preds(spark, d).select("model", F.sum(F.greatest(F.coalesce("tokens", F.lit(0)), F.lit(0))).over(w).alias("spent"))
+    """Calls admitted in order while their sum stays within the cap; the running sum is made in buckets of places."""
+    p = preds(spark, d).select("model", "pos", F.greatest(F.coalesce("tokens", F.lit(0)), F.lit(0)).alias("cost"))
+    r = running(p, ["model"], F.floor(F.col("pos") / 65536), ["pos"], F.col("cost"), "spent")
     return r.groupBy("model").agg(F.count_if(F.col("spent") <= 4000).alias("admitted"), F.max(F.when(F.col("spent") <= 4000, F.col("spent"))).alias("used"))
 
 
@@ -191,11 +193,11 @@ def h33(spark, d):
 
 @query("i1_stratified_split", f"WITH {S}, g AS (SELECT min(kind) AS kind, coalesce(source_id, id) AS unit FROM s GROUP BY coalesce(source_id, id)), r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY sha256('11:' || unit), unit) AS k, count(*) OVER (PARTITION BY kind) AS n FROM g) SELECT s.id, CASE WHEN r.k <= floor(n * 0.8) THEN 'train' WHEN r.k <= floor(n * 0.9) THEN 'validation' ELSE 'test' END AS side FROM s JOIN r ON r.unit = coalesce(s.source_id, s.id)")
 def i1(spark, d):
-    """Grouped by source, stratified by the group's kind, in hash order; ranks come from one sort per kind."""
+    """Grouped by source, stratified by the group's kind, in hash order; ranks come from buckets of the hash."""
     e = entries(spark, d).select("id", "kind", F.coalesce("source_id", "id").alias("unit"))
     g = e.groupBy("unit").agg(F.min("kind").alias("kind"))
     n = g.groupBy("kind").agg(F.count("*").alias("n"))
-    r = g.withColumn("k", F.row_number().over(Window.partitionBy("kind").orderBy(F.sha2(F.concat(F.lit("11:"), "unit"), 256), "unit"))).join(F.broadcast(n), "kind")
+    r = rank_by_hash(g.withColumn("h", F.sha2(F.concat(F.lit("11:"), "unit"), 256)), ["kind"], "h", "unit").join(n, "kind")
     side = F.when(F.col("k") <= F.floor(F.col("n") * 0.8), "train").when(F.col("k") <= F.floor(F.col("n") * 0.9), "validation").otherwise("test")
     return e.select("id", "unit").join(r.select("unit", side.alias("side")), "unit").select("id", "side")
 
@@ -226,6 +228,7 @@ def i7(spark, d):
 
 @query("i14_smoke_scope", f"WITH {SW} SELECT split, id FROM (SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY id) AS k FROM w WHERE split IS NOT NULL) WHERE k <= 5")
 def i14(spark, d):
+    """The first five of each split; Catalyst keeps five a task before the shuffle."""
     return worded(spark, d).filter("split IS NOT NULL").withColumn("k", F.row_number().over(Window.partitionBy("split").orderBy("id"))).filter("k <= 5").select("split", "id")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions import labels as L
 from assayer.functions import text as T
+from assayer.operators.ranking import rank_by_hash, rank_by_range
 from assayer.operators.similarity import leakage_pairs
 from assayer.plans.base import CANON, KIND, P, S, entries, preds, query, r6
 from assayer.runtime import table
@@ -330,7 +331,7 @@ def e7(spark, d):
 
 @query("e8_round_robin_plan", f"WITH {SW}, q AS (SELECT id, row_number() OVER (PARTITION BY kind ORDER BY id) AS seed FROM w WHERE split = 'train') SELECT id, n::INT AS variation, (n - 1) * 1000000 + seed AS place FROM q, range(1, 4) t(n)")
 def e8(spark, d):
-    q = worded(spark, d).filter("split = 'train'").select("id", F.row_number().over(Window.partitionBy("kind").orderBy("id")).alias("seed"))
+    q = rank_by_range(worded(spark, d).filter("split = 'train'").select("kind", "id"), ["kind"], ["id"], "seed")
     return q.select("id", "seed", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("variation")).select("id", "variation", ((F.col("variation") - 1) * 1000000 + F.col("seed")).cast("bigint").alias("place"))
 
 
@@ -343,14 +344,15 @@ def e10(spark, d):
     """Stratified split in hash order: units of a kind by rank, cut at the quotas; the last side takes the remainder."""
     e = entries(spark, d).select("kind", F.coalesce("source_id", "id").alias("unit")).distinct().withColumn("h", F.sha2(F.concat(F.lit("7:"), "unit"), 256))
     n = e.groupBy("kind").agg(F.count("*").alias("n"))
-    r = e.withColumn("k", F.row_number().over(Window.partitionBy("kind").orderBy("h", "unit"))).join(F.broadcast(n), "kind")  # one row a kind
+    r = rank_by_hash(e, ["kind"], "h", "unit").join(n, "kind")
     a, b = F.floor(F.col("n") * 0.7), F.floor(F.col("n") * 0.15)
     return r.select("kind", "unit", F.when(F.col("k") <= a, "train").when(F.col("k") <= a + b, "validation").otherwise("test").alias("side"))
 
 
 @query("e13_id_numbering", f"WITH {S} SELECT id, kind || '-' || lpad(row_number() OVER (PARTITION BY kind ORDER BY id)::VARCHAR, 6, '0') AS new_id FROM s")
 def e13(spark, d):
-    return entries(spark, d).select("id", F.concat("kind", F.lit("-"), F.lpad(F.row_number().over(Window.partitionBy("kind").orderBy("id")).cast("string"), 6, "0")).alias("new_id"))
+    r = rank_by_range(entries(spark, d).select("kind", "id"), ["kind"], ["id"])
+    return r.select("id", F.concat("kind", F.lit("-"), F.lpad(F.col("k").cast("string"), 6, "0")).alias("new_id"))
 
 
 @query("e15_next_free_id", f"WITH {S}, x AS (SELECT kind, regexp_extract(id, '^(.*?)(\\d+)$', 1) AS prefix, regexp_extract(id, '^(.*?)(\\d+)$', 2) AS num FROM s), g AS (SELECT kind, prefix, length(num) AS width, count(*) AS n, max(num::BIGINT) AS top FROM x GROUP BY ALL) SELECT kind, prefix || lpad((top + 1)::VARCHAR, width::INT, '0') AS next_id FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, prefix, width) AS k FROM g) WHERE k = 1")
@@ -363,7 +365,7 @@ def e15(spark, d):
 
 @query("f1_stable_order", f"WITH {SW} SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY id) AS place FROM w WHERE split IS NOT NULL")
 def f1(spark, d):
-    return worded(spark, d).filter("split IS NOT NULL").select("split", "id", F.row_number().over(Window.partitionBy("split").orderBy("id")).alias("place"))
+    return rank_by_range(worded(spark, d).filter("split IS NOT NULL").select("split", "id"), ["split"], ["id"], "place")
 
 
 @query("f2_top_class", f"WITH {P}, {S} SELECT class, n FROM (SELECT s.entry_class AS class, count(*) AS n FROM p JOIN s USING (id) WHERE p.outcome = 'invalid' GROUP BY 1) ORDER BY n DESC, class LIMIT 1")
@@ -374,7 +376,8 @@ def f2(spark, d):
 
 @query("f4_footprint_order", "SELECT model, row_number() OVER (ORDER BY weight_bits, backbone NULLS LAST, model) AS place FROM models")
 def f4(spark, d):
-    return table(spark, d, "models").select("model", F.row_number().over(Window.orderBy("weight_bits", F.asc_nulls_last("backbone"), "model")).alias("place"))
+    order = Window.orderBy("weight_bits", F.asc_nulls_last("backbone"), "model")  # the registry, a few dozen models by contract
+    return table(spark, d, "models").select("model", F.row_number().over(order).alias("place"))
 
 
 @query("f6_batch_sizes", f"WITH {S}, c AS (SELECT kind, count(*) AS n FROM s GROUP BY kind) SELECT kind, b::INT AS batch, least(64, n - 64 * b)::INT AS size FROM c, LATERAL (SELECT unnest(range(0, (n + 63) // 64)) AS b)")

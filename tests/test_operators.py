@@ -90,3 +90,29 @@ def test_no_broadcast_join_in_similarity_plan_needs_a_hint(spark):
     df = spark.createDataFrame([(1, ["a"])], "id int, w array<string>")
     assert "CartesianProduct" not in prefix_pairs(df, df, "id", "w")._jdf.queryExecution().executedPlan().toString()
     assert df.filter(F.size("w") > 0).count() == 1
+
+
+def test_ranks_do_not_depend_on_buckets(spark):
+    from assayer.operators.ranking import rank_by_hash, rank_by_range, running
+
+    rows = [(g, i) for g in ("a", None) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, i int").withColumn("h", F.sha2(F.col("i").cast("string"), 256))
+    got = {(r["g"], r["i"]): r["k"] for r in rank_by_range(df, ["g"], ["i"]).collect()}
+    assert got == {(g, i): i + 1 for g, i in rows}
+    order = {r["i"]: r["h"] for r in df.collect()}
+    want = {i: n for n, i in enumerate(sorted(order, key=order.get), 1)}
+    assert all(r["k"] == want[r["i"]] for r in rank_by_hash(df, ["g"], "h", "i").collect())
+    assert {r["s"] for r in running(df, ["g"], F.floor(F.col("i") / 7), ["i"], F.col("i"), "s").filter("i = 199").collect()} == {199 * 100}
+
+
+def test_guard_verdict_report_and_seam(spark):
+    from assayer.operators import rules
+
+    df = spark.createDataFrame([("x", " Test "), ("y", "train")], "id string, side string")
+    with pytest.raises(rules.SealedError, match="x"):
+        rules.refuse_sealed(df, "side")
+    assert rules.refuse_sealed(df.filter("id = 'y'"), "side").count() == 1
+    assert rules.verdict({"chosen": "m", "ece": 0.01})[0] == "ship" and rules.verdict({"hard_stops": ["x"], "chosen": "m"})[0] == "stop"
+    assert "| y | train |" in rules.markdown(df, "Sides", ["id"])
+    assert rules.scored(df, lambda: lambda b: b.assign(n=b["id"].str.len())[["id", "n"]], "id string, n long").agg(F.sum("n")).first()[0] == 2
+    assert [r["id"] for r in rules.resumed(df, df.filter("id = 'x'"), "id").collect()] == ["y"]
