@@ -31,13 +31,19 @@ def tokens(t: Column) -> Column:
     return F.when(F.length(n) > 0, F.split(n, " ")).otherwise(no_words())
 
 
-def shingles(t: Column, size: int = 5) -> Column:
-    """Distinct runs of ``size`` words; a shorter text is its own only shingle, an empty one has none."""
-    w = tokens(t)
+def shingles_of(w: Column, size: int = 5) -> Column:
+    """Distinct runs of ``size`` words; a shorter text is its own only shingle, an empty one has none.
+
+    ``w`` should be a plain column: a lambda evaluates the expressions in it once per element.
+    """
     runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - size, F.lit(0))), lambda i: F.array_join(F.slice(w, i + 1, F.lit(size)), " "))
     return F.when(F.size(w) == 0, no_words()).when(F.size(w) < size, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(runs))
 
 
+def shingles(t: Column, size: int = 5) -> Column:
+    return shingles_of(tokens(t), size)
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Of two sets as arrays: 1 when both are empty, 0 when one is."""
     union = F.size(F.array_union(a, b))

@@ -11,19 +11,34 @@ from pyspark.sql import functions as F
 
 
 def prefix_pairs(left: DataFrame, right: DataFrame, key: str, tokens: str, p: int = 4, q: int = 5) -> DataFrame:
-    """(left key, right key) of rows whose token sets have similarity p / q or more, as l_key and r_key; empty sets match nothing."""
-    sets = left.select(tokens).union(right.select(tokens)).filter(F.size(tokens) > 0).select(F.array_sort(tokens).alias("set")).distinct()
-    freq = sets.select(F.explode("set").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    ranked = sets.withColumn("token", F.explode("set")).join(freq, "token").groupBy("set").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order"))
-    n = F.size("order")
-    keep = (n - F.ceil(n * p / q - F.lit(1e-9)) + 1).cast("int")
-    cells = ranked.select("set", F.explode(F.transform(F.slice("order", F.lit(1), keep), lambda x: x["token"])).alias("token"))
-    a = cells.select(F.col("set").alias("a"), "token")
-    b = cells.select(F.col("set").alias("b"), "token")
-    sized = (q * F.size("a") >= p * F.size("b")) & (q * F.size("b") >= p * F.size("a"))
-    near = a.join(b, "token").filter(sized).select("a", "b").distinct().filter(q * F.size(F.array_intersect("a", "b")) >= p * F.size(F.array_union("a", "b")))
-    own = lambda df, c, k: df.filter(F.size(tokens) > 0).select(F.col(key).alias(k), F.array_sort(tokens).alias(c))
-    return near.join(own(left, "a", "l_key"), "a").join(own(right, "b", "r_key"), "b").select("l_key", "r_key")
+    """(left key, right key) of rows whose token sets have similarity p / q or more, as l_key and r_key; empty sets match nothing.
+
+    Cells carry the set's size and the token's place. Sets of n and m tokens must share o = ceil(p (n + m) / (p + q)); the first shared
+    token stands at a place of at most n - o and m - o, which drops most cell pairs in the join itself.
+    """
+
+    def classes(df: DataFrame) -> DataFrame:
+        named = df.filter(F.size(tokens) > 0).select(F.col(key).alias("key"), F.array_sort(tokens).alias("set"))
+        return named.withColumn("sid", F.md5(F.concat_ws("\x1f", "set")))
+
+    own = {"l": classes(left), "r": classes(right)}
+    sets = {k: d.groupBy("sid").agg(F.first("set").alias("set")) for k, d in own.items()}  # a function of sid
+    every = sets["l"].unionByName(sets["r"]).groupBy("sid").agg(F.first("set").alias("set"))
+    cell = every.select("sid", F.size("set").alias("n"), F.explode("set").alias("token"))
+    freq = cell.groupBy("token").agg(F.count("*").alias("df"))
+    ranked = cell.join(freq, "token").groupBy("sid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order"))
+    keep = (F.col("n") - F.ceil(F.col("n") * p / q - F.lit(1e-9)) + 1).cast("int")
+    cells = ranked.select("sid", "n", F.posexplode(F.slice("order", F.lit(1), keep)).alias("at", "x")).select("sid", "n", "at", F.col("x.token").alias("token"))
+    side = {k: cells.join(sets[k].select("sid"), "sid", "left_semi").select("token", *[F.col(c).alias(f"{k}_{c}") for c in ("sid", "n", "at")]) for k in "lr"}
+    fits = (p + q) * F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at")) >= p * (F.col("l_n") + F.col("r_n"))
+    maybe = side["l"].join(side["r"], "token").filter(fits).select("l_sid", "r_sid").distinct()
+    for k in "lr":
+        maybe = maybe.join(sets[k].select(F.col("sid").alias(f"{k}_sid"), F.col("set").alias(f"{k}_set")), f"{k}_sid")
+    both = F.size(F.array_intersect("l_set", "r_set"))
+    near = maybe.filter((p + q) * both >= p * (F.size("l_set") + F.size("r_set"))).select("l_sid", "r_sid")
+    for k in "lr":
+        near = near.join(own[k].select(F.col("sid").alias(f"{k}_sid"), F.col("key").alias(f"{k}_key")), f"{k}_sid")
+    return near.select("l_key", "r_key")
 
 
 def leakage_pairs(left: DataFrame, right: DataFrame, key: str, normal: str, words: str, shingles: str) -> DataFrame:

@@ -10,7 +10,7 @@ from assayer.functions import text as T
 from assayer.operators.ranking import rank_by_hash, rank_by_range
 from assayer.operators.similarity import leakage_pairs
 from assayer.plans.base import CANON, KIND, P, S, entries, preds, query, r6
-from assayer.runtime import table
+from assayer.runtime import cut_lineage, table
 
 NORM = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\\s]+', ' ', 'g'), '\\s+', ' ', 'g'))"
 N = NORM.format("text")
@@ -45,8 +45,7 @@ def h1b(spark, d):
     f"WITH {SW}, h AS (SELECT id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')] ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' '))) END AS x FROM w) SELECT id, len(x)::INT AS n, md5(array_to_string(list_sort(x), '|')) AS digest FROM h",
 )
 def h2(spark, d):
-    x = T.shingles(F.col("text"))
-    return entries(spark, d).withColumn("x", F.when(F.col("text").isNull(), T.no_words()).otherwise(x)).select("id", F.size("x").alias("n"), F.md5(F.array_join(F.array_sort("x"), "|")).alias("digest"))
+    return worded(spark, d).withColumn("x", T.shingles_of(F.col("words"))).select("id", F.size("x").alias("n"), F.md5(F.array_join(F.array_sort("x"), "|")).alias("digest"))
 
 
 @query("h3_unicode_fold", f"SELECT doc_id, md5({FOLD.format('text')}) AS folded FROM documents")
@@ -128,7 +127,8 @@ m AS (SELECT a.id AS l_key, b.id AS r_key, CASE WHEN a.n = b.n THEN 'exact'
 
 
 def leaks(spark, d):
-    w = worded(spark, d).filter("n != ''").withColumn("ws", F.array_distinct("words")).withColumn("sh", T.shingles(F.col("text"))).select("id", "n", "ws", "sh", "split", "written_at")
+    w = worded(spark, d).filter("n != '' AND split IS NOT NULL").select("id", "n", "words", "split")
+    w = cut_lineage(w.select("id", "n", "split", F.array_distinct("words").alias("ws"), T.shingles_of(F.col("words")).alias("sh")))  # both sides read it often
     return leakage_pairs(w.filter("split = 'train'"), w.filter("split IN ('validation', 'test')"), "id", "n", "ws", "sh")
 
 
