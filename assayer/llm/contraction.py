@@ -37,10 +37,10 @@ def components(edges: DataFrame, left: str = "a", right: str = "b", seed: int =
         few = n <= ONE_TASK
         before, e = e, e.coalesce(1) if few else e  # one partition needs no exchange for joins and aggregates
         salt = seed + 1000003 * len(mates)
-        mate = cut_lineage(e.filter(~_heads("a", salt) & _heads("b", salt)).groupBy("a").agg(F.min("b").alias("mate")))
+        mate = e.filter(~_heads("a", salt) & _heads("b", salt)).groupBy("a").agg(F.min("b").alias("mate"))
+        mate = mate if few else cut_lineage(mate)  # few edges: cheaper made again from their table when labels unwind
         mates.append((mate.withColumnRenamed("a", "node"), few))
-        joined = mate.coalesce(1) if few else mate
-        end = lambda v: joined.select(F.col("a").alias(v), F.col("mate").alias(f"_{v}"))  # noqa: E731, B023
+        end = lambda v: mate.select(F.col("a").alias(v), F.col("mate").alias(f"_{v}"))  # noqa: E731, B023
         e = cut_lineage(
             e.join(end("a"), "a", "left")
             .join(end("b"), "b", "left")
@@ -48,7 +48,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b", seed: int =
             .filter("a != b")
             .distinct()
         )
-        release(before)
+        if not few:
+            release(before)
     if not mates:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     label = mates[-1][0].withColumnRenamed("mate", "component")
