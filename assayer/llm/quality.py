@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.llm.holdout import HOLDOUT
-from assayer.runtime import table
+from assayer.runtime import cut_lineage, table
 
 SAMPLE = 20_000
 HIGH, LOW = 0.60, 0.30
@@ -267,35 +267,36 @@ def fit_quality(sample: np.ndarray) -> tuple[list, float, float]:
     return model, *platt(raw_score(model, hold), y)
 
 
-def _features_of(df: DataFrame, key: str) -> DataFrame:
-    kind = df.schema[key].dataType.simpleString()
+def _features_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(_k, _h, _x) of documents with words: key, hash of the text, features; written once, for fitting and judging alike."""
+    own = docs.select(F.col(key).alias("_k"), F.xxhash64(text).alias("_h"), F.col(text).alias("_t")).filter(F.col("_t").rlike(r"\S"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = np.array([features(t) for t in b.column(1).to_pylist()], np.float64).reshape(b.num_rows, len(FEATURES))
+            rows = np.array([features(t) for t in b.column(2).to_pylist()], np.float64).reshape(b.num_rows, len(FEATURES))
             flat = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), flat], names=[key, "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), flat], names=["_k", "_h", "_x"])
 
-    return df.mapInArrow(run, f"`{key}` {kind}, x array<double>")
+    return cut_lineage(own.mapInArrow(run, f"_k {docs.schema[key].dataType.simpleString()}, _h bigint, _x array<double>"))
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
     """(key, p): calibrated probability that a document with words is not prose; null and blank documents are left out."""
     spark = docs.sparkSession
-    own = docs.select(F.col(key), F.col(text).alias("text")).filter(F.col("text").rlike(r"\S"))
+    own = _features_of(docs, key, text)
     total = own.count()
-    part = own if total <= sample else own.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(1_000_003 * sample / total))
-    rows = np.array([r["x"] for r in _features_of(part, key).select("x").limit(sample).collect()]).reshape(-1, len(FEATURES))
+    part = own if total <= sample else own.filter(F.pmod("_h", F.lit(1_000_003)) < int(1_000_003 * sample / total))
+    rows = np.array([r["_x"] for r in part.select("_x").limit(sample).collect()]).reshape(-1, len(FEATURES))
     model = spark.sparkContext.broadcast(fit_quality(rows))  # at most TREES trees of 2 ** DEPTH leaves
-    kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, a, b0 = model.value
         for b in batches:
-            x = np.array([features(t) for t in b.column(1).to_pylist()], np.float64).reshape(b.num_rows, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-(a * raw_score(trees, x) + b0))))], names=[key, "p"])
+            x = np.asarray(b.column(1).flatten()).reshape(b.num_rows, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-(a * raw_score(trees, x) + b0))))], names=["_k", "p"])
 
-    return own.mapInArrow(run, f"`{key}` {kind}, p double")
+    scored = own.select("_k", "_x").mapInArrow(run, f"_k {docs.schema[key].dataType.simpleString()}, p double")
+    return scored.select(F.col("_k").alias(key), "p")
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
