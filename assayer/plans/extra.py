@@ -10,7 +10,7 @@ from assayer.functions import text as T
 from assayer.operators.ranking import rank_by_hash
 from assayer.plans.base import CAND, JUDGED, P, S, entries, judged, preds, query, r6
 from assayer.plans.text import SIDE, SW, worded
-from assayer.plans.typed import AL, GT, T as TBL, TQ, VT, aligned, gold_and_teacher, typed
+from assayer.plans.typed import AL, GT, T as TBL, TQ, VT, aligned, bench, gold_and_teacher, typed
 from assayer.runtime import table
 from assayer.sources import records as R
 
@@ -32,6 +32,23 @@ def b27(spark, d):
     return v.join(q, ["item_id", "question_id"], "left").groupBy(state.alias("state")).agg(F.count("*").alias("n"))
 
 
+@query(
+    "b27_all_votes",
+    f"""WITH {TQ}, b0 AS (SELECT id, question::JSON->'criteria' AS criteria FROM bn WHERE json_valid(question)),
+q0 AS (SELECT id, qid, options FROM tq UNION ALL SELECT id, 'question', CASE WHEN json_type(criteria) = 'OBJECT' THEN json_keys(criteria) ELSE list_transform(range(0, json_array_length(criteria)::BIGINT), lambda i: i::VARCHAR) END FROM b0),
+q AS (SELECT id, qid, list_transform(options, lambda o: lower(trim(o))) AS options FROM q0), v AS (SELECT item_id, question_id, lower(trim(label)) AS label FROM rater_votes)
+SELECT CASE WHEN label IS NULL OR label = '' THEN 'blank' WHEN q.id IS NULL THEN 'unknown_question' WHEN NOT coalesce(list_contains(options, label), false) THEN 'unknown_label' ELSE 'valid' END AS state, count(*) AS n FROM v LEFT JOIN q ON q.id = v.item_id AND q.qid = v.question_id GROUP BY 1""",
+)
+def b27_all(spark, d):
+    """States of all votes, on typed_rows and on bench_rows, whatever their ids."""
+    asked = R.typed_questions(typed(spark, d)).select("id", "qid", "options").unionByName(R.bench_questions(bench(spark, d).filter(F.try_parse_json("question").isNotNull())).select("id", F.lit("question").alias("qid"), "options"))
+    q = asked.select(F.col("id").alias("item_id"), F.col("qid").alias("question_id"), F.transform("options", lambda o: F.lower(F.trim(o))).alias("options"), F.lit(True).alias("asked"))
+    v = table(spark, d, "rater_votes").select("item_id", "question_id", F.lower(F.trim("label")).alias("label"))
+    known = F.coalesce(F.array_contains("options", F.col("label")), F.lit(False))
+    state = F.when(F.col("label").isNull() | (F.col("label") == ""), "blank").when(F.col("asked").isNull(), "unknown_question").when(~known, "unknown_label").otherwise("valid")
+    return v.join(q, ["item_id", "question_id"], "left").groupBy(state.alias("state")).agg(F.count("*").alias("n"))
+
+
 @query("b28_scored_pool", f"WITH {P} SELECT model, bool_or(len(list_filter(coalesce(offered, []), lambda x: starts_with(x, 'escalate:'))) > 0) AS offers_reasons, count(offered) AS with_offer FROM p GROUP BY model")
 def b28(spark, d):
     has = F.coalesce(F.exists("offered", lambda x: x.startswith("escalate:")), F.lit(False))
