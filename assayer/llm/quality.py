@@ -147,6 +147,16 @@ FEATURES = [
 ]
 
 
+WINDOW = 400
+
+
+def distinct_share(words: list[str]) -> float:
+    """Mean share of distinct words over windows of WINDOW words that cover the whole text; the last one ends with it."""
+    last = max(0, len(words) - WINDOW)
+    starts = [*range(0, last, WINDOW), last]
+    return sum(len(set(words[lo : lo + WINDOW])) for lo in starts) / len(starts) / max(1, min(WINDOW, len(words)))
+
+
 def features(text: str | None) -> list[float]:
     if not text or not text.strip():
         return [0.0] * len(FEATURES)
@@ -175,7 +185,7 @@ def features(text: str | None) -> list[float]:
         math.log1p(n / max(1, len(lines))),
         sum(x.rstrip()[-1] in ".!?…。！？:\"”" for x in lines) / max(1, len(lines)),
         text.count("\n\n") / max(1, len(lines)),
-        len(set(low[:400])) / max(1, len(low[:400])),
+        distinct_share(low),
         sum(len(t) == 1 for t in tokens) / max(1, len(tokens)),
         len(SENTENCE.findall(text)) / max(1, len(words)),
         text.count(",") / max(1, len(tokens)),

@@ -286,6 +286,15 @@ def test_quality_on_the_holdout_and_hard_texts(spark):
     assert quality.judged(df.limit(0)).count() == 0
 
 
+def test_distinct_words_are_counted_over_the_whole_text():
+    at = quality.FEATURES.index("distinct")
+    names = [f"{a}{b}" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    value = lambda words: quality.features(" ".join(words))[at]
+    assert value(names) == 1 and value(names * 5) == 1 and value(names[:100] * 2) == 0.5
+    assert value(names + ["same"] * 1200) < 0.3 and value(names + ["same"] * 399) < 0.6
+    assert value(["one"]) == 1 and value(["..."]) == 0
+
+
 def test_records(spark):
     q = '{"a": {"type": "choice", "instructions": "Do it?", "criteria": {"Yes": "go on", "no": null}}, "b": {"criteria": ["Low: x", "High"], "type": "score", "instructions": "How much"}}'
     df = spark.createDataFrame([(q,), (q[:60],), (None,), ("",), ("[1]",)], "questions string")
