@@ -2,9 +2,9 @@
 
 ``p8_stats`` computes plain statistics with built-in expressions. ``p8_found`` reads every document whole, types its lines
 (list item, table row, key-value, log, code, menu, encoded, broken, torn apart, repeated, words without sentences, prose),
-and gives shares of characters by type and global ratios to gradient-boosted trees. The trees (histogram splits, logistic loss, numpy)
-are fitted on weak labels: documents whose structural share is clearly high or clearly low, of a sample of at most
-SAMPLE documents by hash of the text. Probabilities are calibrated by Platt scaling on HOLDOUT, texts written and judged by hand.
+and gives global ratios to gradient-boosted trees. The trees (histogram splits, logistic loss, numpy)
+are fitted on weak labels: whether at least BOUND of the characters are in lines of other types than prose, in a sample of at most
+SAMPLE documents by hash of the text. The shares by type make the label, so the trees don't see them and can correct a mistyped line. Probabilities are calibrated by Platt scaling on HOLDOUT, texts written and judged by hand.
 
 Defined results: null, empty and blank texts are no cases and have null ratios; n_chars is counted, never read from the table; repeated texts
 get equal results; an empty table gives an empty result; other columns are ignored.
@@ -27,7 +27,7 @@ from assayer.llm.holdout import HOLDOUT
 from assayer.runtime import cut_lineage, table
 
 SAMPLE = 20_000
-HIGH, LOW = 0.60, 0.30
+BOUND = 0.70
 
 COMMON = {
     "en": "the of and to in a is that it was for on with as be at by this had not are but from or have an they which one you were all her she there would their we him been has when who will no more if out so said what up its about than into them can only other time new some could these two may first then do any like my now over such our man me even most made after also did many off before must well back through years much where your way down should because long each just state those people too",
@@ -145,6 +145,7 @@ def line_shares(text: str) -> Counter:
 FEATURES = [
     *KINDS, "junk", "log_chars", "words", "word_length", "symbols", "digits", "upper", "spaces", "common", "line_length", "lines_end", "line_blocks", "distinct", "single", "sentences", "commas",
 ]
+TRAINED = slice(FEATURES.index("junk") + 1, None)  # those that don't make the weak label
 
 
 WINDOW = 400
@@ -268,12 +269,11 @@ def platt(score: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, f
 
 
 def fit_quality(sample: np.ndarray) -> tuple[list, float, float]:
-    """Trees on the weakly labelled rows of the sample and of the holdout-free rules, and the calibration on HOLDOUT."""
-    hold = np.array([features(t) for t, _ in HOLDOUT])
+    """Trees over the TRAINED features on the weakly labelled sample, and their calibration on HOLDOUT."""
+    hold = np.array([features(t) for t, _ in HOLDOUT])[:, TRAINED]
     y = np.array([float(k) for _, k in HOLDOUT])
-    junk = FEATURES.index("junk")
-    x = sample[(sample[:, junk] >= HIGH) | (sample[:, junk] <= LOW)] if len(sample) else np.zeros((0, len(FEATURES)))
-    model = fit_trees(x, (x[:, junk] >= HIGH).astype(float)) if len(x) else fit_trees(hold, y)
+    label = (sample[:, FEATURES.index("junk")] >= BOUND).astype(float)
+    model = fit_trees(sample[:, TRAINED], label) if len(sample) else fit_trees(hold, y)
     return model, *platt(raw_score(model, hold), y)
 
 
@@ -302,7 +302,7 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, a, b0 = model.value
         for b in batches:
-            x = np.asarray(b.column(1).flatten()).reshape(b.num_rows, len(FEATURES))
+            x = np.asarray(b.column(1).flatten()).reshape(b.num_rows, len(FEATURES))[:, TRAINED]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-(a * raw_score(trees, x) + b0))))], names=["_k", "p"])
 
     scored = own.select("_k", "_x").mapInArrow(run, f"_k {docs.schema[key].dataType.simpleString()}, p double")

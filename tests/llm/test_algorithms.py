@@ -295,6 +295,18 @@ def test_distinct_words_are_counted_over_the_whole_text():
     assert value(["one"]) == 1 and value(["..."]) == 0
 
 
+def test_trees_correct_mistyped_lines():
+    junk = quality.FEATURES.index("junk")
+    rows = np.array([quality.features(t) for t, _ in quality.HOLDOUT] * 50)
+    menu = np.array([quality.features("\n".join(f"- pump {i}\n- valve {i}" for i in range(9)))])
+    typed, mistyped = menu.copy(), menu.copy()
+    mistyped[0, : junk + 1] = 0
+    mistyped[0, quality.FEATURES.index("prose")] = 1
+    model, a, b = quality.fit_quality(rows)
+    p = lambda x: 1 / (1 + np.exp(-(a * quality.raw_score(model, x[:, quality.TRAINED]) + b)))
+    assert p(typed)[0] == p(mistyped)[0] > 0.5
+
+
 def test_records(spark):
     q = '{"a": {"type": "choice", "instructions": "Do it?", "criteria": {"Yes": "go on", "no": null}}, "b": {"criteria": ["Low: x", "High"], "type": "score", "instructions": "How much"}}'
     df = spark.createDataFrame([(q,), (q[:60],), (None,), ("",), ("[1]",)], "questions string")
