@@ -269,11 +269,19 @@ def platt(score: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, f
 
 
 def fit_quality(sample: np.ndarray) -> tuple[list, float, float]:
-    """Trees over the TRAINED features on the weakly labelled sample, and their calibration on HOLDOUT."""
+    """Trees over the TRAINED features on the weakly labelled sample, and their calibration on HOLDOUT.
+
+    A sample with hardly any row of one class also gets the rows of HOLDOUT. The rows of the rarer class are repeated up to the number of
+    the other, so that the cuts and the least leaf weight of the trees hold for any mixture.
+    """
     hold = np.array([features(t) for t, _ in HOLDOUT])[:, TRAINED]
     y = np.array([float(k) for _, k in HOLDOUT])
-    label = (sample[:, FEATURES.index("junk")] >= BOUND).astype(float)
-    model = fit_trees(sample[:, TRAINED], label) if len(sample) else fit_trees(hold, y)
+    x, label = sample[:, TRAINED], (sample[:, FEATURES.index("junk")] >= BOUND).astype(float)
+    if min(label.sum(), (1 - label).sum()) < len(hold):
+        x, label = np.concatenate([x, hold]), np.concatenate([label, y])
+    own = [np.flatnonzero(label == k) for k in (0, 1)]
+    even = np.concatenate([np.resize(k, max(map(len, own))) for k in own])
+    model = fit_trees(x[even], label[even])
     return model, *platt(raw_score(model, hold), y)
 
 

@@ -307,6 +307,21 @@ def test_trees_correct_mistyped_lines():
     assert p(typed)[0] == p(mistyped)[0] > 0.5
 
 
+@pytest.mark.parametrize("junk", [0, 3])
+def test_quality_of_a_table_with_hardly_any_junk(spark, junk):
+    who, what, when = ["We", "They", "The crew", "Nobody", "She"], ["looked at the pump", "went back to the yard", "closed the old valve", "read the report again"], ["in the morning", "after the visit", "before it was dark"]
+    said = [f"{a} {b} {c}" for a in who for b in what for c in when]
+    prose = [f"{said[i % 60]}, and that was all. {said[(7 * i + 3) % 60]} because the part had not come." for i in range(200)]
+    lists = ["\n".join(f"- pump {i}\n- valve {k}" for i in range(9)) for k in range(junk)]
+    df = spark.createDataFrame(list(enumerate(prose + lists)), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in quality.judged(df).filter("p >= 0.5").collect()} == set(range(200, 200 + junk))
+
+
+def test_quality_of_a_table_of_junk_alone(spark):
+    df = spark.createDataFrame([(i, "\n".join(f"- pump {i}\n- valve {k}" for k in range(9))) for i in range(100)], "doc_id bigint, text string")
+    assert quality.judged(df).filter("p >= 0.5").count() == 100
+
+
 def test_records(spark):
     q = '{"a": {"type": "choice", "instructions": "Do it?", "criteria": {"Yes": "go on", "no": null}}, "b": {"criteria": ["Low: x", "High"], "type": "score", "instructions": "How much"}}'
     df = spark.createDataFrame([(q,), (q[:60],), (None,), ("",), ("[1]",)], "questions string")
