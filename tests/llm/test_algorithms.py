@@ -140,6 +140,20 @@ def test_overlaps_equal_brute_force(spark, texts):
     assert got == want and ("c2", "c1") in got
 
 
+def test_overlap_counts_equal_the_pairs_without_making_them(spark, texts, monkeypatch):
+    inner = "the quick old pump was shut by nobody at noon"
+    rows = [(f"i{k:03d}", t, ("train", "test", "validation", None)[k % 4]) for k, t in enumerate(texts)]
+    rows += [("c1", inner, "test"), ("c2", f"we heard that {inner} and left", "train"), ("c3", f"{inner} now", "train"), ("c4", "one two", "train"), ("c5", "One two", "test")]
+    df = recs(spark, rows).drop("cls", "tokens")
+    want = Counter(r["eval_id"] for r in overlap.overlaps(df).collect())
+    monkeypatch.setattr(overlap, "overlaps", None)
+    monkeypatch.setattr(overlap, "records", lambda *_: df)
+    got = overlap.overlap_counts(df).collect()
+    assert {r["id"]: r["pairs"] for r in got} == dict(want) and len(got) == len(want) and want["c1"] == 2
+    report = overlap.p4_report(spark, "").collect()
+    assert sum(r["pairs"] for r in report) == sum(want.values()) and sum(r["found"] for r in report) == len(want)
+
+
 def test_overlaps_of_an_empty_table(spark):
     assert overlap.overlaps(recs(spark, []).drop("cls", "tokens")).count() == 0
 
