@@ -241,10 +241,11 @@ def merged(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(model, day, measure, code, count). A redelivered row repeats pos and content, so pos and a hash of the content count once."""
+    """(model, day, measure, code, count). A redelivered row repeats pos and content, so a pos counts once, and a null pos once per hash of the content without the arrival."""
     t = table(spark, sf_dir, "predictions")
-    own = t.select("pos", "model", F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_micros("recorded_at") / F.lit(86_400_000_000)).cast("int")).alias("day"), *[F.col(m).cast("double").alias(m) for m in MEASURES])
-    own = own.groupBy("pos").agg(F.min(F.struct("model", "day", *MEASURES)).alias("r")).select("r.*")
+    content = F.when(F.col("pos").isNull(), F.xxhash64(F.to_json(F.struct(*[c for c in t.columns if c != "arrived_at"]))))
+    own = t.select("pos", content.alias("content"), "model", F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_micros("recorded_at") / F.lit(86_400_000_000)).cast("int")).alias("day"), *[F.col(m).cast("double").alias(m) for m in MEASURES])
+    own = own.groupBy("pos", "content").agg(F.min(F.struct("model", "day", *MEASURES)).alias("r")).select("r.*")
     codes = [F.when((F.col(m) >= 0) & ~F.isnan(m), _code(F.col(m))).alias(m) for m in MEASURES]
     long = own.select("model", "day", *codes).select(
         "model", "day", F.explode(F.create_map(*[x for m in MEASURES for x in (F.lit(m), F.col(m))])).alias("measure", "code")

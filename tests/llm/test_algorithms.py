@@ -202,6 +202,16 @@ def test_sketched_groups(spark):
     assert quantiles.sketched(c.limit(0), ("k",)).count() == 0
 
 
+def test_measurements_without_pos_are_kept_apart(spark, tmp_path):
+    rows = [(1, "a", 5.0, 1), (1, "a", 5.0, 2), (None, "m", 5.0, 1), (None, "m", 5.0, 2), (None, "m", 7.0, 1), (None, "n", 5.0, 1)]
+    df = spark.createDataFrame(rows, "pos bigint, model string, latency_ms double, day int").select(
+        "pos", "model", "latency_ms", F.lit(None).cast("double").alias("ttfd_ms"), F.lit(None).cast("bigint").alias("tokens"), F.lit("2020-01-01").cast("timestamp").alias("recorded_at"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("day")).cast("timestamp").alias("arrived_at")
+    )
+    df.write.parquet(f"{tmp_path}/predictions.parquet")
+    got = quantiles.measurements(spark, str(tmp_path)).groupBy("model").agg(F.sum("count").alias("n")).collect()
+    assert {r["model"]: r["n"] for r in got} == {"a": 1, "m": 2, "n": 1}
+
+
 VOTES = "item_id string, question_id string, kind string, k int, rater_id string, label string"
 
 
