@@ -1,197 +1,34 @@
 """Text quality statistics (problem 8) and a boosted-tree judgement of what is natural prose.
 
-``p8_stats`` computes plain statistics with built-in expressions. ``p8_found`` reads every document whole, types its lines
-(list item, table row, key-value, log, code, menu, encoded, broken, torn apart, repeated, words without sentences, prose),
-and gives global ratios to gradient-boosted trees. The trees (histogram splits, logistic loss, numpy)
-are fitted on weak labels: whether at least BOUND of the characters are in lines of other types than prose, in a sample of at most
-SAMPLE documents by hash of the text. The shares by type make the label, so the trees don't see them and can correct a mistyped line. Probabilities are calibrated by Platt scaling on HOLDOUT, texts written and judged by hand.
+``p8_stats`` computes plain statistics with built-in expressions. ``p8_found`` gives the statistics of ``shape``, which need no language and read
+every text whole, to gradient-boosted trees (histogram splits, logistic loss, numpy). The trees are fitted on weak labels: what several independent
+``voters`` say of a sample. No voter's output is an input of the trees. Probabilities are calibrated by Platt scaling on documents
+drawn by hash and judged by reading (``holdout.DRAWN``).
+
+The sample is the SAMPLE documents with the smallest hashes of their key, at any size of the table: the first pass reads keys only and keeps
+the smallest per task. Voters run on the sample alone, so all else is one pass of vectorised counting.
 
 Defined results: null, empty and blank texts are no cases and have null ratios; n_chars is counted, never read from the table; repeated texts
-get equal results; an empty table gives an empty result; other columns are ignored.
+get equal results; an empty table gives an empty result; other columns are ignored; where the sample has fewer than LEAST labelled texts of a class,
+the texts of ``holdout.WRITTEN`` join it, so a table of one class is judged too.
 """
 
 from __future__ import annotations
 
-import math
-import re
-from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm.holdout import HOLDOUT
-from assayer.runtime import cut_lineage, table
-
-SAMPLE = 20_000
-BOUND = 0.70
-
-COMMON = {
-    "en": "the of and to in a is that it was for on with as be at by this had not are but from or have an they which one you were all her she there would their we him been has when who will no more if out so said what up its about than into them can only other time new some could these two may first then do any like my now over such our man me even most made after also did many off before must well back through years much where your way down should because long each just state those people too",
-    "de": "der die das und ist nicht ein eine zu den von mit dem des sich auf für es im sie er wir war hat an auch als wie aber nach noch bei nur so wenn man kann aus um am vor werden sind oder dann bis einen einem zur zum ob",
-    "fr": "le la les de des du et un une est que qui ne pas dans en pour il elle ce cette sur au aux avec sont plus par on nous vous se mais même était si tout sa son depuis avant où",
-    "es": "el la los las de del y un una es que no en por con se lo su para al como más pero ya ha fue muy sin sobre este esta son cuando hay también si porque todos era antes",
-    "pl": "i w z na nie to się jest że do jak po ale o co tak za od czy był już tylko jeśli przez ten ta te być są kiedy lub dla może bo przed pod by tym jeszcze który wszystkie kto nikt",
-}
-WORDS = frozenset(" ".join(COMMON.values()).split())
-KINDS = ("list", "table", "pair", "log", "code", "menu", "coded", "broken", "torn", "repeat", "salad", "prose")
-LIST = re.compile(r"^\s*(?:[-*+•◦‣–>]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)]|\[[ xX]\])\s+\S")
-LOG = re.compile(r"^\s*\[?(?:\d{4}[-/]\d\d[-/]\d\d|\d{1,2}[/.]\d{1,2}(?:[/.]\d{2,4})?|\d{1,2}:\d\d(?::\d\d)?|\d{10,13}\b|[A-Z][a-z]{2} +\d{1,2} \d\d:\d\d)[T ,\]]?.*(?:\b(?:info|debug|warn|warning|error|trace|fatal|notice|critical)\b|\[|=|\d\d:\d\d)", re.I)
-LEVEL = re.compile(r"^\s*\[?(?:INFO|DEBUG|WARN|WARNING|ERROR|TRACE|FATAL)\b")
-PAIR = re.compile(r"^\s*[\"']?[\w .-]{1,40}[\"']?\s*(?:=|:|=>|->)\s*\S{0,60}(?: \S{1,20}){0,2}[,;]?\s*$")
-CODE = re.compile(r"(?:[;{}]\s*$|^\s*[{}\[\]()]+,?;?\s*$|^\s*(?:def|for|if|else|elif|while|return|import|from|class|var|let|const|function|public|private|try|except|end)\b.*[({:;=\[]|[\w\])]\s*(?:==|!=|\+=|:=|&&|\|\||=)\s*[\w\[({\"']|\w\([^)]*\)\s*[;{:]?\s*$|</?\w+[^>]*>|^\s*\"[^\"]*\"\s*:|^\s*\"[^\"]*\",?\s*$|^[{\[].*[}\]]\s*$)")
-GAPS = re.compile(r"\S(?: {3,}|\t+ *)\S")
-CELL = re.compile(r"\s*[|;¦]\s*|\t+")
-MENU = re.compile(r"\s+[·•|»›>/~]\s+")
-LONG = re.compile(r"\S{32,}")
-KANA = re.compile(r"[\u3040-\u30ff\u4e00-\u9fff\uac00-\ud7af]")
-WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-BAD = re.compile(r"[\ufffd\u25a1\u00a4ÃÅÐǺ€™\u0080-\u009f]|(?<![^\W\d_])[\u0300-\u036f]|â€|\?{3,}")
-SENTENCE = re.compile(r"[.!?…。！？][\"'”»)]*(?:\s|$)")
-
-
-def _line_kind(s: str) -> str | None:
-    """Type of a line by its form alone; None asks for its words."""
-    n = len(s)
-    letters = sum(map(str.isalpha, s))
-    if len(BAD.findall(s)) > 0.12 * n:
-        return "broken"
-    if KANA.search(s) and len(KANA.findall(s)) > 0.25 * n:
-        return "kana"
-    tokens = s.split()
-    if len(tokens) >= 6 and sum(len(t) == 1 for t in tokens) > 0.6 * len(tokens):
-        return "torn"
-    if LOG.match(s) or LEVEL.match(s):
-        return "log"
-    if sum(map(len, LONG.findall(s))) > 0.5 * n:
-        return "coded"
-    if s.count("|") >= 2 and MENU.search(s) and not s.lstrip().startswith("|") and s.count("|") < 6:
-        return "menu"
-    cells = len(CELL.findall(s))
-    if cells >= 2 or len(GAPS.findall(s)) >= 2 or s.lstrip().startswith("|"):
-        return "table"
-    if len(MENU.findall(s)) >= 3:
-        return "menu"
-    if LIST.match(s):
-        return "list"
-    if letters < 0.45 * n and n > 3:
-        return "coded" if sum(map(str.isdigit, s)) < 0.3 * n else "table"
-    if CODE.search(s):
-        return "code"
-    return None
-
-
-def line_shares(text: str) -> Counter:
-    """Characters (blanks at line ends left out) by type."""
-    out: Counter = Counter()
-    lines = [x.strip("\r") for x in text.replace("\u2028", "\n").split("\n")]
-    often = Counter(x.strip() for x in lines if x.strip())
-    run: list[str] = []
-
-    def judge(words: list[str]) -> None:
-        # Windows, so that a long text is not judged by its size; a short rest is like what it ends.
-        kind = None
-        for lo in range(0, len(words), 40):
-            w = words[lo : lo + 40]
-            piece = " ".join(w)
-            if kind is None or len(w) >= 8:
-                found = [x.lower() for x in WORD.findall(piece)]
-                share = sum(x in WORDS for x in found) / max(1, len(found))
-                commas = piece.count(",") + piece.count(";")
-                if len(found) >= 8 and len(set(found)) < 0.35 * len(found):
-                    kind = "repeat"
-                elif share >= 0.22 or (share >= 0.12 and commas < 0.3 * len(w)):
-                    kind = "prose"
-                else:
-                    kind = "salad"
-            out[kind] += len(piece)
-
-    def close() -> None:
-        judge(" ".join(run).split())
-        run.clear()
-
-    for s in lines:
-        bare = s.strip()
-        if not bare:
-            close()
-            continue
-        kind = _line_kind(s.rstrip())
-        if often[bare] >= 4 and kind != "kana":
-            kind = kind or "repeat"
-        if kind in ("list", "code", None) or (kind == "pair"):
-            found = WORD.findall(bare)
-            known = sum(x.lower() in WORDS for x in found) / max(1, len(found))
-            if kind in ("list", "code") and len(found) >= 8 and known >= 0.3 and kind == "code":
-                kind = None
-            if kind is None and PAIR.match(bare) and len(found) <= 8 and known < 0.3:
-                kind = "pair"
-        if kind is None:
-            words = bare.split()
-            if len(words) >= 20:  # long enough to be judged alone
-                close()
-                judge(words)
-            else:
-                run.append(bare)
-            continue
-        close()
-        out["prose" if kind == "kana" else kind] += len(bare)
-    close()
-    return out
-
-
-FEATURES = [
-    *KINDS, "junk", "log_chars", "words", "word_length", "symbols", "digits", "upper", "spaces", "common", "line_length", "lines_end", "line_blocks", "distinct", "single", "sentences", "commas",
-]
-TRAINED = slice(FEATURES.index("junk") + 1, None)  # those that don't make the weak label
-
-
-WINDOW = 400
-
-
-def distinct_share(words: list[str]) -> float:
-    """Mean share of distinct words over windows of WINDOW words that cover the whole text; the last one ends with it."""
-    last = max(0, len(words) - WINDOW)
-    starts = [*range(0, last, WINDOW), last]
-    return sum(len(set(words[lo : lo + WINDOW])) for lo in starts) / len(starts) / max(1, min(WINDOW, len(words)))
-
-
-def features(text: str | None) -> list[float]:
-    if not text or not text.strip():
-        return [0.0] * len(FEATURES)
-    shares = line_shares(text)
-    total = sum(shares.values()) or 1
-    n = len(text)
-    words = WORD.findall(text)
-    low = [w.lower() for w in words]
-    lines = [x for x in text.split("\n") if x.strip()]
-    kana = len(KANA.findall(text))
-    letters = sum(map(str.isalpha, text))
-    digits = sum(map(str.isdigit, text))
-    spaces = sum(map(str.isspace, text))
-    tokens = text.split()
-    return [
-        *[shares[k] / total for k in KINDS],
-        1 - shares["prose"] / total,
-        math.log(n),
-        math.log1p(len(words)),
-        sum(map(len, words)) / max(1, len(words)),
-        (n - letters - digits - spaces) / n,
-        digits / n,
-        sum(map(str.isupper, text)) / max(1, letters),
-        spaces / n,
-        max(sum(w in WORDS for w in low) / max(1, len(low)), min(1.0, kana / max(1, letters))),
-        math.log1p(n / max(1, len(lines))),
-        sum(x.rstrip()[-1] in ".!?…。！？:\"”" for x in lines) / max(1, len(lines)),
-        text.count("\n\n") / max(1, len(lines)),
-        distinct_share(low),
-        sum(len(t) == 1 for t in tokens) / max(1, len(tokens)),
-        len(SENTENCE.findall(text)) / max(1, len(words)),
-        text.count(",") / max(1, len(tokens)),
-    ]
+from assayer.llm.holdout import DRAWN, WRITTEN
+from assayer.llm.shape import NAMES, shapes
+from assayer.llm.voters import WORDS, weak_label
+from assayer.runtime import table
 
+SAMPLE = 8_000
+LEAST = 40
 
 # ------------------------------------------------------------------------------------------------ boosted trees
 
@@ -268,53 +105,57 @@ def platt(score: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, f
     return float(w[0]), float(w[1])
 
 
-def fit_quality(sample: np.ndarray) -> tuple[list, float, float]:
-    """Trees over the TRAINED features on the weakly labelled sample, and their calibration on HOLDOUT.
+def fit_quality(x: np.ndarray, label: np.ndarray) -> tuple[list, float, float]:
+    """Trees over the shapes of weakly labelled texts, and their calibration on DRAWN.
 
-    A sample with hardly any row of one class also gets the rows of HOLDOUT. The rows of the rarer class are repeated up to the number of
-    the other, so that the cuts and the least leaf weight of the trees hold for any mixture.
+    The rows of the rarer class are repeated up to the number of the other, so that the cuts and the least leaf weight hold for any mixture.
     """
-    hold = np.array([features(t) for t, _ in HOLDOUT])[:, TRAINED]
-    y = np.array([float(k) for _, k in HOLDOUT])
-    x, label = sample[:, TRAINED], (sample[:, FEATURES.index("junk")] >= BOUND).astype(float)
-    if min(label.sum(), (1 - label).sum()) < len(hold):
-        x, label = np.concatenate([x, hold]), np.concatenate([label, y])
+    if min(label.sum(), (1 - label).sum()) < LEAST:
+        x, label = np.concatenate([x, shapes([t for t, _ in WRITTEN])]), np.concatenate([label, [float(k) for _, k in WRITTEN]])
     own = [np.flatnonzero(label == k) for k in (0, 1)]
     even = np.concatenate([np.resize(k, max(map(len, own))) for k in own])
     model = fit_trees(x[even], label[even])
-    return model, *platt(raw_score(model, hold), y)
+    return model, *platt(raw_score(model, shapes([t for t, _ in DRAWN])), np.array([float(k) for _, k in DRAWN]))
+
+
+def probability(fitted: tuple[list, float, float], x: np.ndarray) -> np.ndarray:
+    model, a, b = fitted
+    return 1 / (1 + np.exp(-(a * raw_score(model, x) + b)))
 
 
-def _features_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(_k, _h, _x) of documents with words: key, hash of the text, features; written once, for fitting and judging alike."""
-    own = docs.select(F.col(key).alias("_k"), F.xxhash64(text).alias("_h"), F.col(text).alias("_t")).filter(F.col("_t").rlike(r"\S"))
+def fitting_sample(docs: DataFrame, key: str, text: str, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shapes and weak labels of the ``sample`` documents whose keys have the smallest hashes; repeated keys count once."""
+    h = F.xxhash64(F.col(key), F.lit(8))
+    least = docs.select(h.alias("h")).orderBy("h").limit(sample).agg(F.max("h").alias("h")).first()["h"]
+    if least is None:
+        return np.zeros((0, len(NAMES))), np.zeros(0)
+    chosen = docs.select(h.alias("h"), F.col(text).alias("t")).filter((F.col("h") <= least) & F.col("t").rlike(r"\S")).dropDuplicates(["h"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = np.array([features(t) for t in b.column(2).to_pylist()], np.float64).reshape(b.num_rows, len(FEATURES))
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), flat], names=["_k", "_h", "_x"])
+            texts = b.column(1).to_pylist()
+            label = [weak_label(t) for t in texts]
+            keep = [i for i, y in enumerate(label) if y is not None]
+            rows = pa.array(shapes([texts[i] for i in keep]).astype(np.float32).ravel())
+            x = pa.FixedSizeListArray.from_arrays(rows, len(NAMES)).cast(pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), x, pa.array([label[i] for i in keep], pa.float64())], names=["h", "x", "y"])
 
-    return cut_lineage(own.mapInArrow(run, f"_k {docs.schema[key].dataType.simpleString()}, _h bigint, _x array<double>"))
+    rows = sorted((r["h"], r["y"], r["x"]) for r in chosen.mapInArrow(run, "h bigint, x array<float>, y double").collect())
+    return np.array([r[2] for r in rows], np.float64).reshape(-1, len(NAMES)), np.array([r[1] for r in rows])
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
     """(key, p): calibrated probability that a document with words is not prose; null and blank documents are left out."""
-    spark = docs.sparkSession
-    own = _features_of(docs, key, text)
-    total = own.count()
-    part = own if total <= sample else own.filter(F.pmod("_h", F.lit(1_000_003)) < int(970_000 * sample / total))  # below the bound, so that the limit takes nothing away
-    rows = np.array([r["_x"] for r in part.select("_x").limit(sample).collect()]).reshape(-1, len(FEATURES))
-    model = spark.sparkContext.broadcast(fit_quality(rows))  # at most TREES trees of 2 ** DEPTH leaves
+    fitted = docs.sparkSession.sparkContext.broadcast(fit_quality(*fitting_sample(docs, key, text, sample)))  # at most TREES trees of 2 ** DEPTH leaves
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, a, b0 = model.value
         for b in batches:
-            x = np.asarray(b.column(1).flatten()).reshape(b.num_rows, len(FEATURES))[:, TRAINED]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-(a * raw_score(trees, x) + b0))))], names=["_k", "p"])
+            texts = b.column(1).to_pylist()
+            p = [probability(fitted.value, shapes(texts[lo : lo + 256]).astype(np.float32).astype(np.float64)) for lo in range(0, len(texts), 256)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(p) if p else np.zeros(0))], names=[key, "p"])
 
-    scored = own.select("_k", "_x").mapInArrow(run, f"_k {docs.schema[key].dataType.simpleString()}, p double")
-    return scored.select(F.col("_k").alias(key), "p")
+    own = docs.select(F.col(key), F.col(text)).filter(F.col(text).rlike(r"\S"))
+    return own.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, p double")
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
