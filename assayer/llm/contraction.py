@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayer.llm.records import records
+from assayer.llm.skew import hot_keys, skew_join
 from assayer.runtime import cut_lineage, release
 
 UNWIND_CUT = 4
-ONE_TASK = 200_000  # edges (at most 100 bytes each) that are contracted in one task
 
 
 def _heads(vertex: str, salt: int) -> Column:
@@ -29,48 +29,45 @@ def _heads(vertex: str, salt: int) -> Column:
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b", seed: int = 7) -> DataFrame:
-    """(node, component) for every vertex that has an edge to another vertex."""
+    """(node, component) for every vertex that has an edge to another vertex.
+
+    Every round is the same distributed plan at any size; its tables are deleted once nothing reads them.
+    """
     e = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).filter("a != b")
     e = cut_lineage(e.union(e.select("b", "a")).distinct())
-    mates: list[tuple[DataFrame, bool]] = []
-    while n := e.count():
-        few = n <= ONE_TASK
-        before, e = e, e.coalesce(1) if few else e  # one partition needs no exchange for joins and aggregates
+    mates: list[DataFrame] = []
+    while not e.isEmpty():
         salt = seed + 1000003 * len(mates)
-        mate = e.filter(~_heads("a", salt) & _heads("b", salt)).groupBy("a").agg(F.min("b").alias("mate"))
-        mate = mate if few else cut_lineage(mate)  # few edges: cheaper made again from their table when labels unwind
-        mates.append((mate.withColumnRenamed("a", "node"), few))
+        mate = cut_lineage(e.filter(~_heads("a", salt) & _heads("b", salt)).groupBy("a").agg(F.min("b").alias("mate")))
+        mates.append(mate)
         end = lambda v: mate.select(F.col("a").alias(v), F.col("mate").alias(f"_{v}"))  # noqa: E731, B023
-        e = cut_lineage(
-            e.join(end("a"), "a", "left")
-            .join(end("b"), "b", "left")
-            .select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
-            .filter("a != b")
-            .distinct()
-        )
-        if not few:
-            release(before)
+        hot = hot_keys(e, ["a"])  # the graph is symmetric, so these are the hubs of both ends
+        half = skew_join(e, end("a"), ["a"], "left", hot).select(F.coalesce("_a", "a").alias("a"), "b")
+        both = skew_join(half, end("b"), ["b"], "left", hot).select("a", F.coalesce("_b", "b").alias("b"))
+        before, e = e, cut_lineage(both.filter("a != b").distinct())
+        release(before)
     if not mates:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    label = mates[-1][0].withColumnRenamed("mate", "component")
-    for k, (mate, few) in enumerate(reversed(mates[:-1]), 1):
+    label, own = mates[-1].withColumnRenamed("a", "node").withColumnRenamed("mate", "component"), None
+    for k, mate in enumerate(reversed(mates[:-1]), 1):
         to = label.select(F.col("node").alias("mate"), F.col("component").alias("_c"))
-        label = mate.join(to, "mate", "left").select("node", F.coalesce("_c", "mate").alias("component")).unionByName(label)
-        if few:
-            label = label.coalesce(1)
+        label = mate.withColumnRenamed("a", "node").join(to, "mate", "left").select("node", F.coalesce("_c", "mate").alias("component")).unionByName(label)
         if k % UNWIND_CUT == 0:
-            label = cut_lineage(label)
+            label, old = cut_lineage(label), own
+            own = label
+            if old is not None:
+                release(old)
     # A root never mates, so it has no row yet.
     roots = label.select(F.col("component").alias("node"), "component").distinct()
-    return cut_lineage(label.unionByName(roots))
+    done = cut_lineage(label.unionByName(roots))
+    for old in [e, *mates, *([own] if own is not None else [])]:
+        release(old)
+    return done
 
 
 # --------------------------------------------------------------------------------------------------- units
 
 
-SALTS = 16
-
-
 def _name(relation: str, kind: str, key: str) -> Column:
     return F.concat(F.col(relation), F.lit(f"|{kind}|"), F.col(key))
 
@@ -93,33 +90,22 @@ def pair_units(pairs: DataFrame, seed: int = 7) -> DataFrame:
     )
 
 
-def _salted(df: DataFrame) -> DataFrame:
-    return df.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-
-
-def _copies(df: DataFrame) -> DataFrame:
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-
-
 def _same_keys(df: DataFrame) -> DataFrame:
     """Null keys as text, so that an equi-join meets them."""
     return df.withColumn("_s", F.coalesce("origin_key", F.lit(""))).withColumn("_o", F.coalesce("owner_key", F.lit("")))
 
 
 def with_units(recs: DataFrame, units: DataFrame) -> DataFrame:
-    """Records with their unit; a record without any name is a unit of its own. Hot names are salted."""
-    right = _copies(_same_keys(units)).select("relation", "_s", "_o", "_salt", "unit")
-    return (
-        _salted(_same_keys(recs))
-        .join(right, ["relation", "_s", "_o", "_salt"], "left")
-        .withColumn("unit", F.coalesce("unit", F.concat("relation", F.lit("|r|"), "id")))
-        .drop("_s", "_o", "_salt")
-    )
+    """Records with their unit; a record without any name is a unit of its own and meets no join. Hot names are salted."""
+    named = recs.filter("origin_key IS NOT NULL OR owner_key IS NOT NULL")
+    found = skew_join(_same_keys(named), _same_keys(units).select("relation", "_s", "_o", "unit"), ["relation", "_s", "_o"], "left").drop("_s", "_o")
+    alone = recs.filter("origin_key IS NULL AND owner_key IS NULL").withColumn("unit", F.concat("relation", F.lit("|r|"), "id"))
+    return found.unionByName(alone.select(*found.columns))
 
 
 def broken_units(recs: DataFrame, seed: int = 7) -> DataFrame:
     """(relation, id) of the records whose unit holds records of more than one split."""
-    named = recs.filter("origin_key IS NOT NULL OR owner_key IS NOT NULL")
+    named = recs.filter("origin_key IS NOT NULL OR owner_key IS NOT NULL").select("relation", "id", "origin_key", "owner_key", "split")
     pairs = cut_lineage(named.select("relation", "origin_key", "owner_key", "split").distinct())
     units = cut_lineage(_same_keys(pair_units(pairs, seed)).select("relation", "_s", "_o", "unit"))
     mixed = (
@@ -130,8 +116,8 @@ def broken_units(recs: DataFrame, seed: int = 7) -> DataFrame:
         .filter("first != last")
         .select("unit")
     )
-    bad = _copies(units.join(mixed, "unit", "left_semi").drop("unit"))
-    return _salted(_same_keys(named)).join(bad, ["relation", "_s", "_o", "_salt"], "left_semi").select("relation", "id")
+    bad = units.join(mixed, "unit", "left_semi").drop("unit")
+    return skew_join(_same_keys(named).drop("split"), bad, ["relation", "_s", "_o"], "left_semi").select("relation", "id")
 
 
 # ------------------------------------------------------------------------------------------------- splitting
@@ -198,7 +184,7 @@ def assign_splits(recs: DataFrame, shares: Sequence[tuple[str, float]] = SHARES)
     pairs = cut_lineage(recs.select("relation", "origin_key", "owner_key").distinct())
     placed = cut_lineage(with_units(recs, pair_units(pairs)).select("relation", "id", "unit"))
     chosen = split_by_weight(placed.groupBy("relation", "unit").agg(F.count("*").alias("weight")), shares)
-    return _salted(placed).join(_copies(chosen), ["relation", "unit", "_salt"]).select("relation", "id", "unit", "assigned")
+    return skew_join(placed, chosen, ["relation", "unit"]).select("relation", "id", "unit", "assigned")
 
 
 # --------------------------------------------------------------------------------------------------- queries

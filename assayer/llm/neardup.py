@@ -1,16 +1,18 @@
 """Groups of near-duplicate records (problem 1) by a blocked sparse product of document by token incidence.
 
 1. Records with the same set of words collapse into one class, so copies never meet each other.
-2. The columns (tokens) get one global order, rare first. Frequencies are counted in DF_BUCKETS hash buckets, a
-   table of fixed size; a shared bucket only makes a rare token look frequent, which costs time, not results.
-3. For sets of n <= m words to share p/q of their union they must share o(n, m) = ceil(p (n + m) / (p + q)) words. The
-   first word both share, in the global order, then stands at a place <= n - o and <= m - o. Only such cells
-   of the incidence matrix can be the first of a pair, and only they enter the product.
+2. The columns (tokens) get one global order, rare first: the HEAVY most frequent tokens by exact frequency, before them all
+   others, by hash. The list is bounded; a token outside it holds less than 1 / HEAVY of the cells.
+3. For sets of n <= m words to share p/q of their union they must share o(n, m) = ceil(p (n + m) / (p + q)) words, and at least
+   SHARED of them (fewer only if the sets are that small) among the first n - o + SHARED words of either. Only such cells of the
+   incidence matrix enter the product.
 4. A column with more cells than BLOCK is cut into square blocks, so a column that a third of the documents share
-   is spread over tasks. Within a block the product is an outer sum in numpy: a pair goes on when its sizes and places
-   allow o, and when the 512-bit sketches of both sets allow it (a common word sets a common bit; a set of n words
-   with k bits loses at most n - k of them to collisions). All bounds are exact: no pair is lost.
-5. The pairs that are left are counted out on the sets themselves; components come from random-mate contraction.
+   is spread over tasks; frequencies of columns outside the list that need blocks are joined. Within a block the product is an outer sum in numpy
+   over the partners of a row's sizes only: a cell pair goes on when sizes and places allow o, and when the 512-bit sketches of both sets allow it
+   (a common word sets a common bit; a set of n words with k bits loses at most n - k of them to collisions).
+5. The counts of a pair are added up over all blocks. Behind its prefixes either set has o - SHARED words, so a pair whose sum
+   stays below SHARED is discarded. All bounds are exact: no pair is lost.
+6. The pairs that are left are counted out on the sets themselves; components come from random-mate contraction.
 
 Defined results: records without words belong to no group; below MIN_DISTINCT distinct words only equal word sequences are
 near; repeated rows count once per id; empty tables give empty results.
@@ -19,6 +21,7 @@ near; repeated rows count once per id; empty tables give empty results.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +30,17 @@ from pyspark.sql import functions as F
 
 from assayer.llm.contraction import components
 from assayer.llm.records import records, with_words
-from assayer.runtime import cut_lineage
+from assayer.llm.skew import hot_keys, skew_join
+from assayer.runtime import cut_lineage, release
 
 P, Q = 7, 10
-DF_BUCKETS = 1 << 18
+HEAVY = 1 << 16
 BLOCK = 8192
+SHARED = 2
 SKETCH_WORDS = 8
-KEY = "token bigint, bi int, bj int"
-CELLS = f"{KEY}, role int, cls bigint, n int, at int, lost int, sketch binary"
+LEFT, RIGHT = 1, 2  # sides of a class; in one collection every class is on both
+CELLS = "token bigint, role int, side int, cls bigint, n int, at int, lost int, df bigint, sketch binary"
+PAIRS = "a bigint, b bigint, n int, m int, shared bigint"
 
 
 def set_classes(recs: DataFrame) -> DataFrame:
@@ -43,21 +49,41 @@ def set_classes(recs: DataFrame) -> DataFrame:
     return cut_lineage(own.groupBy("relation", "set_key").agg(F.first("tokens").alias("tokens")).withColumn("cls", F.monotonically_increasing_id()))
 
 
-def bucket_frequencies(classes: DataFrame) -> np.ndarray:
-    """Token counts by hash bucket: DF_BUCKETS numbers, whatever the size of the corpus."""
-    counts = np.zeros(DF_BUCKETS, np.int64)
-    for r in classes.select(F.explode("tokens").alias("t")).groupBy(F.pmod("t", F.lit(DF_BUCKETS)).alias("b")).count().collect():
-        counts[r["b"]] = r["count"]
-    return counts
+@dataclass
+class Order:
+    """The heaviest tokens, ascending, with their exact frequencies; every other token has at most ``below``."""
 
+    tokens: np.ndarray
+    df: np.ndarray
+    below: int
 
-def ordered_tokens(tokens: pa.Array, df: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def frequency(self, tokens: np.ndarray) -> np.ndarray:
+        """Exact for a token of the list, 0 for any other."""
+        if not len(self.tokens):
+            return np.zeros(len(tokens), np.int64)
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == tokens, self.df[at], 0)
+
+
+def token_frequencies(classes: DataFrame) -> DataFrame:
+    return classes.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+
+
+def token_order(classes: DataFrame, heavy: int = HEAVY) -> Order:
+    """The ``heavy`` most frequent tokens that more than one class has; a bounded list whatever the size of the corpus."""
+    rows = token_frequencies(classes).filter("df > 1").orderBy(F.desc("df"), "token").limit(heavy).toPandas()
+    token, df = rows["token"].to_numpy(np.int64), rows["df"].to_numpy(np.int64)
+    by = np.argsort(token)
+    return Order(token[by], df[by], int(df.min()) if len(df) == heavy else 1)
+
+
+def ordered_tokens(tokens: pa.Array, order: Order) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Flat tokens, rare first within each row, with their row, place, frequency and the rows' lengths."""
     off = np.asarray(tokens.offsets)
     flat = np.asarray(tokens.flatten())
     n = np.diff(off)
     row = np.repeat(np.arange(len(n)), n)
-    freq = df[flat % DF_BUCKETS]
+    freq = order.frequency(flat)
     by = np.lexsort((flat, freq, row))
     at = np.arange(len(flat)) - np.repeat(off[:-1] - off[0], n)
     return flat[by], row, at, freq[by], n
@@ -75,49 +101,61 @@ def sketches(flat: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, n - np.bitwise_count(out).sum(1).astype(np.int64)
 
 
-def cells(df: np.ndarray, block: int = BLOCK):
-    """mapInArrow: classes to the cells of the incidence matrix that can be the first of a pair."""
+def probe_length(n: np.ndarray) -> np.ndarray:
+    """Words of the larger of two sets of which SHARED must be common: n - ceil(p n / q) + SHARED."""
+    return np.minimum(n, n + (-P * n // Q) + SHARED)
+
+
+def index_length(n: np.ndarray) -> np.ndarray:
+    """The same for the smaller set, whose partner is at least as large."""
+    return np.minimum(n, n + (-2 * P * n // (P + Q)) + SHARED)
+
+
+def cells(order: Order):
+    """mapInArrow: classes (cls, side, tokens) to the cells of the incidence matrix that can belong to a pair; role 3 is in both prefixes, 2 in the longer one only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cls = np.asarray(batch["cls"])
-            flat, row, at, freq, n = ordered_tokens(batch["tokens"], df)
+            cls, side = np.asarray(batch["cls"]), np.asarray(batch["side"])
+            flat, row, at, freq, n = ordered_tokens(batch["tokens"], order)
             sketch, lost = sketches(flat, n)
-            m = n[row]
-            probe = at <= m - -(-P * m // Q)
-            index = at <= m - -(-2 * P * m // (P + Q))
-            keep = np.flatnonzero(probe)
-            token, r, place, wide = flat[keep], row[keep], at[keep], -(-freq[keep] // block)
-            own = (cls[r].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)).astype(np.int64) % wide
-            parts = []
-            narrow = wide == 1
-            zero = np.zeros(narrow.sum(), np.int64)
-            parts.append((np.flatnonzero(narrow), zero, zero, np.where(index[keep][narrow], 3, 2)))
-            for role, which in ((1, ~narrow & index[keep]), (2, ~narrow)):
-                k = np.flatnonzero(which)
-                times = wide[k]
-                k = np.repeat(k, times)
-                other = np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times)
-                bi, bj = (own[k], other) if role == 1 else (other, own[k])
-                parts.append((k, bi, bj, np.full(len(k), role)))
-            k, bi, bj, role = (np.concatenate(x) for x in zip(*parts, strict=True))
-            for lo in range(0, len(k), 200_000):
-                s = slice(lo, lo + 200_000)
-                rr = r[k[s]]
+            keep = np.flatnonzero(at < probe_length(n)[row])
+            role = np.where(at[keep] < index_length(n)[row[keep]], 3, 2)
+            for lo in range(0, len(keep), 200_000):
+                k = keep[lo : lo + 200_000]
+                r = row[k]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(token[k[s]]), pa.array(bi[s].astype(np.int32)), pa.array(bj[s].astype(np.int32)), pa.array(role[s].astype(np.int32)),
-                        pa.array(cls[rr]), pa.array(n[rr].astype(np.int32)), pa.array(place[k[s]].astype(np.int32)), pa.array(lost[rr].astype(np.int32)),
-                        pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH_WORDS * 8), len(rr), [None, pa.py_buffer(np.ascontiguousarray(sketch[rr]))]).cast(pa.binary()),
+                        pa.array(flat[k]), pa.array(role[lo : lo + 200_000].astype(np.int32)), pa.array(side[r].astype(np.int32)), pa.array(cls[r]), pa.array(n[r].astype(np.int32)), pa.array(at[k].astype(np.int32)), pa.array(lost[r].astype(np.int32)), pa.array(freq[k]),
+                        pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH_WORDS * 8), len(r), [None, pa.py_buffer(np.ascontiguousarray(sketch[r]))]).cast(pa.binary()),
                     ],
-                    names=["token", "bi", "bj", "role", "cls", "n", "at", "lost", "sketch"],
+                    names=["token", "role", "side", "cls", "n", "at", "lost", "df", "sketch"],
                 )
 
     return run
 
 
+def blocked(cell: DataFrame, classes: DataFrame, order: Order, block: int = BLOCK) -> DataFrame:
+    """Cells with their block (bi, bj): (0, 0), or a row of blocks as smaller set (role 1) and a column of blocks as larger one (role 2)."""
+    if order.below > block:  # else every column outside the list fits one block
+        known = classes.sparkSession.createDataFrame([(int(t),) for t in order.tokens], "token bigint")
+        middle = token_frequencies(classes).filter(F.col("df") > block).join(F.broadcast(known), "token", "left_anti")  # at most HEAVY rows are broadcast
+        cell = cell.join(middle.withColumnRenamed("df", "_df"), "token", "left").withColumn("df", F.coalesce("_df", "df")).drop("_df")
+    wide = F.greatest(F.ceil(F.col("df") / block), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64("cls", F.lit(3)), F.col("wide")).cast("int")
+    each = F.sequence(F.lit(0), F.col("wide") - 1)
+    struct = lambda bi, bj, role: F.struct(bi.alias("bi"), bj.alias("bj"), role.alias("r"))
+    zero = F.lit(0)
+    spread = F.concat(
+        F.when(F.col("role") == 3, F.transform(each, lambda k: struct(F.col("own"), k, F.lit(1)))).otherwise(F.array().cast("array<struct<bi:int,bj:int,r:int>>")),
+        F.transform(each, lambda k: struct(k, F.col("own"), F.lit(2))),
+    )
+    at = F.when(F.col("wide") == 1, F.array(struct(zero, zero, F.col("role")))).otherwise(spread)
+    return cell.withColumn("wide", wide).withColumn("own", own).withColumn("_at", F.explode(at)).select("token", "_at.bi", "_at.bj", F.col("_at.r").alias("role"), "side", "cls", "n", "at", "lost", "sketch")
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups with the groups' starts, from batches sorted by key; holds one open group at most."""
     open_: pa.Table | None = None
@@ -140,52 +178,69 @@ def groups_of(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tup
 
 
 def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow over cells sorted by column block: pairs of classes that every bound allows."""
+    """mapInArrow over cells sorted by column block: pairs of classes of different sides that every bound allows, with the number of shared cells met here."""
     for t, starts in groups_of(batches, ["token", "bi", "bj"]):
         ends = np.append(starts[1:], t.num_rows)
-        role, cls, n, at, lost = (np.asarray(t[c]) for c in ("role", "cls", "n", "at", "lost"))
+        role, side, n, at, lost = (np.asarray(t[c]).astype(np.int32) for c in ("role", "side", "n", "at", "lost"))
+        cls = np.asarray(t["cls"])
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
         left, right = [], []
         for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
             g = np.arange(a, b)
             x, y = g[role[g] & 1 > 0], g[role[g] & 2 > 0]
-            y = y[np.argsort(n[y], kind="stable")]
             if not len(x) or not len(y):
                 continue
-            step = max(1, 4_000_000 // len(y))
+            x, y = x[np.argsort(n[x], kind="stable")], y[np.argsort(n[y], kind="stable")]
             ny, ry = n[y], n[y] - at[y]
-            for lo in range(0, len(x), step):
-                xs = x[lo : lo + step]
-                nx = n[xs][:, None]
-                ok = P * (nx + ny) <= (P + Q) * np.minimum(nx - at[xs][:, None], ry)
-                ok &= (nx <= ny) & (Q * nx >= P * ny)
-                i, j = np.nonzero(ok)
-                i, j = xs[i], y[j]
-                once = (n[i] < n[j]) | (cls[i] < cls[j])
-                i, j = i[once & (cls[i] != cls[j])], j[once & (cls[i] != cls[j])]
-                for c in range(0, len(i), 500_000):
-                    ic, jc = i[c : c + 500_000], j[c : c + 500_000]
-                    shared = np.bitwise_count(sketch[ic] & sketch[jc]).sum(1).astype(np.int64)
-                    good = (P + Q) * (shared + np.minimum(lost[ic], lost[jc])) >= P * (n[ic] + n[jc])
-                    left.append(cls[ic[good]])
-                    right.append(cls[jc[good]])
+            lo = 0
+            while lo < len(x):
+                # Rows of like size meet the partners that are as large, and at most q / p times as large.
+                hi = int(np.searchsorted(n[x], n[x[lo]] + max(1, n[x[lo]] // 16), "left"))
+                frm, to = np.searchsorted(ny, n[x[lo]], "left"), np.searchsorted(ny, Q * int(n[x[hi - 1]]) // P, "right")
+                step = max(1, 2_000_000 // max(1, to - frm))
+                for at_x in range(lo, hi, step):
+                    xs = x[at_x : min(hi, at_x + step)]
+                    nx = n[xs][:, None]
+                    ok = P * (nx + ny[None, frm:to]) <= (P + Q) * (np.minimum(nx - at[xs][:, None], ry[None, frm:to]) + (SHARED - 1))
+                    i, j = np.nonzero(ok)
+                    i, j = xs[i], y[frm + j]
+                    once = ((n[i] < n[j]) | ((n[i] == n[j]) & (cls[i] < cls[j]))) & (Q * n[i] >= P * n[j]) & (((side[i] & LEFT > 0) & (side[j] & RIGHT > 0)) | ((side[i] & RIGHT > 0) & (side[j] & LEFT > 0)))
+                    i, j = i[once], j[once]
+                    for c in range(0, len(i), 500_000):
+                        ic, jc = i[c : c + 500_000], j[c : c + 500_000]
+                        shared = np.bitwise_count(sketch[ic] & sketch[jc]).sum(1).astype(np.int64)
+                        good = (P + Q) * (shared + np.minimum(lost[ic], lost[jc])) >= P * (n[ic] + n[jc])
+                        left.append(ic[good])
+                        right.append(jc[good])
+                lo = hi
         if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+            x, y = np.concatenate(left), np.concatenate(right)
+            pair, first, times = np.unique(np.stack([cls[x], cls[y]]), axis=1, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1]), pa.array(n[x[first]]), pa.array(n[y[first]]), pa.array(times)], names=["a", "b", "n", "m", "shared"])
+
+
+def least_shared() -> F.Column:
+    """What two sets of n <= m words must share in the first n - o + SHARED and m - o + SHARED words: o - SHARED can stand behind either."""
+    return F.least(F.lit(SHARED), F.ceil(P * (F.col("n") + F.col("m")) / F.lit(P + Q) - F.lit(1e-9)))
+
 
+def near_classes(classes: DataFrame, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
+    """(a, b): pairs of classes, one of them LEFT and the other RIGHT, whose sets share P / Q of their union.
 
-def near_classes(classes: DataFrame) -> DataFrame:
-    """(a, b): pairs of classes whose sets share P / Q of their union, a < b."""
+    ``classes`` has cls and tokens; without a column ``side`` every class is on both sides.
+    """
     spark = classes.sparkSession
-    df = bucket_frequencies(classes)
-    cell = classes.select("cls", "tokens").mapInArrow(cells(df), CELLS)
+    if "side" not in classes.columns:
+        classes = classes.withColumn("side", F.lit(LEFT | RIGHT))
+    order = token_order(classes, heavy)
+    cell = blocked(classes.select("cls", "side", "tokens").mapInArrow(cells(order), CELLS), classes, order, block)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    blocked = cell.repartition(parts, "token", "bi", "bj").sortWithinPartitions("token", "bi", "bj")
-    maybe = blocked.mapInArrow(product, "a bigint, b bigint").distinct()
+    met = cell.repartition(parts, "token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInArrow(product, PAIRS)
+    maybe = cut_lineage(met.groupBy("a", "b").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sum("shared").alias("shared")).filter(F.col("shared") >= least_shared()).select("a", "b"))
     sets = lambda k: classes.select(F.col("cls").alias(k), F.col("tokens").alias(f"t{k}"))
     both = F.size(F.array_intersect("ta", "tb"))
-    return maybe.join(sets("a"), "a").join(sets("b"), "b").filter((P + Q) * both >= P * (F.size("ta") + F.size("tb"))).select("a", "b")
+    whole = skew_join(skew_join(maybe, sets("a"), ["a"]), sets("b"), ["b"], hot=hot_keys(maybe, ["b"]))
+    return whole.filter((P + Q) * both >= P * (F.size("ta") + F.size("tb"))).select("a", "b")
 
 
 def members(recs: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -193,9 +248,7 @@ def members(recs: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
     comp = components(edges).select(F.col("node").alias("cls"), "component")
     grouped = classes.select("relation", "set_key", "cls").join(comp, "cls", "left").select("relation", "set_key", "cls", F.coalesce("component", "cls").alias("component"))
     return (
-        recs.filter(F.size("seq") > 0)
-        .select("relation", "id", "seq_key", "set_key")
-        .join(grouped, ["relation", "set_key"], "left")
+        skew_join(recs.filter(F.size("seq") > 0).select("relation", "id", "seq_key", "set_key"), grouped, ["relation", "set_key"], "left")
         .select("relation", "id", "cls", F.coalesce(F.concat(F.lit("g"), F.col("component").cast("string")), F.concat(F.lit("s"), "seq_key")).alias("group_id"))
     )
 
@@ -205,14 +258,29 @@ def near_groups(recs: DataFrame) -> tuple[DataFrame, DataFrame]:
     recs = cut_lineage(with_words(recs).select("relation", "id", "seq", "seq_key", "set_key", "tokens"))
     classes = set_classes(recs)
     edges = cut_lineage(near_classes(classes))
-    return cut_lineage(members(recs, classes, edges)), edges
+    out = cut_lineage(members(recs, classes, edges))
+    for done in (recs, classes):
+        release(done)
+    return out, edges
+
+
+GROUP_BLOCK = 4096
+
+
+def pairs_within(m: DataFrame, block: int = GROUP_BLOCK) -> DataFrame:
+    """(relation, left_id, right_id) of all pairs of a group. A group above ``block`` members is cut into square blocks of them, so that no task gets more than block^2 pairs of a group."""
+    sizes = m.groupBy("relation", "group_id").agg(F.count("*").alias("_size")).filter("_size > 1").withColumn("_blocks", F.ceil(F.col("_size") / block).cast("int"))
+    g = skew_join(m.select("relation", "group_id", "id"), sizes, ["relation", "group_id"]).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
+    each = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    left = g.select("relation", "group_id", F.col("id").alias("left_id"), F.col("_own").alias("_i"), F.explode(each).alias("_j"))
+    right = g.select("relation", "group_id", F.col("id").alias("right_id"), F.explode(each).alias("_i"), F.col("_own").alias("_j"))
+    return left.join(right, ["relation", "group_id", "_i", "_j"]).filter("left_id < right_id").select("relation", "left_id", "right_id")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, _ = near_groups(records(spark, sf_dir))
-    left = m.select("relation", "group_id", F.col("id").alias("left_id"))
-    right = m.select("relation", "group_id", F.col("id").alias("right_id"))
-    return left.join(right, ["relation", "group_id"]).filter("left_id < right_id").select("relation", "left_id", "right_id")
+    m, edges = near_groups(records(spark, sf_dir))
+    release(edges)
+    return pairs_within(m)
 
 
 def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.llm import bpe, consensus, contraction, neardup, overlap, packing, quantiles
+from assayer.llm import bpe, consensus, contraction, neardup, overlap, packing, quantiles, skew
 from assayer.llm import records as R
 from assayer.llm.fmindex import FMIndex
 
@@ -70,19 +70,44 @@ def test_near_groups_of_an_empty_table(spark):
     assert m.count() == 0 and edges.count() == 0
 
 
-def test_blocks_lose_no_pair(spark):
+@pytest.mark.parametrize(("heavy", "block"), [(1 << 16, 8192), (1 << 16, 16), (8, 16), (1, 4)])
+def test_blocks_lose_no_pair(spark, heavy, block):
+    """Columns within a block, columns of the list and columns outside it that are cut into blocks."""
     rng = np.random.default_rng(2)
-    rows = [(i, sorted({int(x) for x in rng.integers(0, 25, 18)})) for i in range(150)]
-    df = np.zeros(neardup.DF_BUCKETS, np.int64)
-    for _, t in rows:
-        for x in t:
-            df[x] += 1
+    rows = [(i, sorted({int(x) for x in rng.integers(0, 25, 18)} | {1000 + i} if i % 3 else {int(x) for x in rng.integers(0, 25, 18)})) for i in range(150)]
     classes = spark.createDataFrame(rows, "cls bigint, tokens array<bigint>")
-    cell = classes.mapInArrow(neardup.cells(df, block=16), neardup.CELLS)
-    pairs = cell.repartition(3, "token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInArrow(neardup.product, "a bigint, b bigint").distinct()
-    got = {tuple(r) for r in pairs.collect()}
-    want = {(a, b) for (a, x), (b, y) in itertools.combinations(rows, 2) if 10 * len(set(x) & set(y)) >= 7 * len(set(x) | set(y))}
-    assert want <= got
+    near_pair = {(a, b) for (a, x), (b, y) in itertools.combinations(rows, 2) if 10 * len(set(x) & set(y)) >= 7 * len(set(x) | set(y))}
+    got = [tuple(sorted(r)) for r in neardup.near_classes(classes, heavy, block).collect()]
+    assert len(got) == len(set(got)) and set(got) == near_pair and near_pair
+    sided = classes.withColumn("side", F.when(F.col("cls") % 3 == 0, neardup.LEFT).when(F.col("cls") % 3 == 1, neardup.RIGHT).otherwise(3))
+    side = {i: (1, 2, 3)[i % 3] for i, _ in rows}
+    got = [tuple(sorted(r)) for r in neardup.near_classes(sided, heavy, block).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a, b in near_pair if side[a] | side[b] == 3}
+
+
+def test_counts_of_a_pair_are_added_up(spark):
+    """Pairs that share one prefix word only are discarded before their sets are met."""
+    rows = [(0, list(range(10))), (1, list(range(9)) + [50]), (2, [0] + list(range(60, 69)))]
+    classes = spark.createDataFrame(rows, "cls bigint, tokens array<bigint>").withColumn("side", F.lit(3))
+    order = neardup.token_order(classes)
+    cell = neardup.blocked(classes.select("cls", "side", "tokens").mapInArrow(neardup.cells(order), neardup.CELLS), classes, order)
+    met = cell.repartition(3, "token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInArrow(neardup.product, neardup.PAIRS).groupBy("a", "b").agg(F.sum("shared").alias("s")).collect()
+    assert {tuple(sorted((r["a"], r["b"]))) for r in met if r["s"] >= neardup.SHARED} == {(0, 1)}
+
+
+def test_pairs_of_a_large_group(spark):
+    m = spark.createDataFrame([("r", f"i{k:03d}", "g" if k < 90 else f"h{k}") for k in range(100)], "relation string, id string, group_id string")
+    got = [tuple(r)[1:] for r in neardup.pairs_within(m, block=7).collect()]
+    assert len(got) == len(set(got)) and set(got) == set(itertools.combinations([f"i{k:03d}" for k in range(90)], 2))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_equals_join(spark, how):
+    left = spark.createDataFrame([("a" if k % 3 else None if k % 7 == 0 else f"k{k % 5}", k) for k in range(200)], "k string, x int")
+    right = spark.createDataFrame([("a", 1), ("a", 2), ("k1", 3), ("z", 4), (None, 5)], "k string, y int")
+    hot = skew.hot_keys(left, ["k"], over=20)
+    assert hot[0] == ("a", 7)
+    assert sorted(map(repr, skew.skew_join(left, right, ["k"], how, over=20).collect())) == sorted(map(repr, left.join(right, ["k"], how).collect()))
 
 
 def test_components(spark):
@@ -125,7 +150,12 @@ def test_shares_of_many_units(spark):
     assert {r["assigned"]: round(r["w"] / total, 2) for r in got} == {"train": 0.7, "validation": 0.15, "test": 0.15}
 
 
-def test_overlaps_equal_brute_force(spark, texts):
+@pytest.mark.parametrize(("over", "words"), [(100_000, 1 << 17), (3, 40)])
+def test_overlaps_equal_brute_force(spark, texts, monkeypatch, over, words):
+    """With the defaults, and with tiny shards, several streams a shard and salted keys."""
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (over,))
+    monkeypatch.setattr(overlap, "SHARD_WORDS", words)
+    monkeypatch.setattr(overlap, "STREAM_WORDS", words)
     inner = "the quick old pump was shut by nobody at noon"
     rows = [(f"i{k:03d}", t, ("train", "test", "validation", None)[k % 4]) for k, t in enumerate(texts)]
     rows += [("c1", inner, "test"), ("c2", f"we heard that {inner} and left", "train"), ("c3", f"we heard that {inner.replace('old', 'new')} and left", "train"), ("c4", inner, None)]
@@ -158,15 +188,63 @@ def test_overlaps_of_an_empty_table(spark):
     assert overlap.overlaps(recs(spark, []).drop("cls", "tokens")).count() == 0
 
 
-def test_index_finds_longest_matches():
+def test_index_finds_whole_texts_and_runs():
     rng = np.random.default_rng(0)
     for _ in range(40):
         known = list({tuple(map(int, rng.integers(1, 4, rng.integers(1, 6)))) for _ in range(5)})
-        asked = [tuple(map(int, rng.integers(1, 5, rng.integers(1, 12)))) for _ in range(4)]
+        asked = [tuple(map(int, rng.integers(1, 5, rng.integers(1, 14)))) for _ in range(4)]
         fm = FMIndex(np.concatenate([np.array(x) for x in known]), np.array([len(x) for x in known]))
-        got = fm.longest_matches(np.concatenate([np.array(x) for x in asked]), np.array([len(x) for x in asked]))
-        want = [max((n for n in range(1, i + 2) if any(x[i + 1 - n : i + 1] == y[k : k + n] for y in known for k in range(len(y)))), default=0) for x in asked for i in range(len(x))]
-        assert got.tolist() == want
+        flat, n = np.concatenate([np.array(x) for x in asked]), np.array([len(x) for x in asked])
+        q, s = fm.whole_matches(flat, n, 2)
+        assert set(zip(q.tolist(), s.tolist(), strict=True)) == {(i, j) for i, x in enumerate(asked) for j, y in enumerate(known) if len(y) >= 2 and any(x[k : k + len(y)] == y for k in range(len(x)))}
+        start = np.cumsum(n) - n
+        want = sorted(start[i] + k + 2 for i, x in enumerate(asked) for k in range(len(x) - 2) if any(x[k : k + 3] == y[m : m + 3] for y in known for m in range(len(y) - 2)))
+        assert fm.ends_of_matches(flat, n, 3).tolist() == want
+
+
+def test_index_is_a_few_bytes_a_symbol():
+    rng = np.random.default_rng(1)
+    fm = FMIndex(rng.integers(0, 4000, 1 << 16), np.full(1 << 8, 1 << 8))
+    assert fm.nbytes < 3 * fm.n
+
+
+def test_texts_that_share_a_run_share_a_minimizer():
+    rng = np.random.default_rng(7)
+    for _ in range(50):
+        run = rng.integers(0, 1 << 40, overlap.LEAST_WORDS)
+        a, b = (np.concatenate([rng.integers(0, 9, rng.integers(0, 20)), run, rng.integers(0, 9, rng.integers(0, 20))]) for _ in range(2))
+        at, key = overlap.minimizers(np.concatenate([a, b]), np.array([len(a), len(b)]))
+        assert set(key[at < len(a)]) & set(key[at >= len(a)])
+    assert len(overlap.minimizers(np.arange(14), np.array([7, 7]))[0]) == 0
+
+
+def test_spans_equal_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(12)]
+    evals = [" ".join(rng.choice(vocabulary, 20)) for _ in range(12)]
+    trains = []
+    for k in range(40):
+        a, b = rng.choice(evals, 2)
+        trains.append(" ".join([*rng.choice(vocabulary, k % 5), *a.split()[k % 7 : 8 + k % 11], *rng.choice(vocabulary, k % 3), *b.split()[2 : 9 + k % 4]]))
+    df = recs(spark, [(f"e{k}", t, "test") for k, t in enumerate(evals)] + [(f"t{k}", t, "train") for k, t in enumerate(trains)] + [("c", trains[0], "train")]).drop("cls", "tokens")
+    runs = {tuple(w[k : k + 8]) for w in map(str.split, evals) for k in range(len(w) - 7)}
+    want = {}
+    for k, t in [*enumerate(trains), ("c", trains[0])]:
+        w = t.split()
+        covered = [False] * len(w)
+        last, n = -1, 0
+        for i in range(len(w) - 7):
+            if tuple(w[i : i + 8]) in runs:
+                n += i > last
+                last = i + 8
+                covered[i : i + 8] = [True] * 8
+        if n:
+            want[k if k == "c" else f"t{k}"] = (n, sum(covered))
+    for streams in (overlap.STREAM_WORDS, 50):
+        monkeypatch.setattr(overlap, "STREAM_WORDS", streams)
+        monkeypatch.setattr(overlap, "SHARD_WORDS", streams)
+        assert {r["id"]: (r["spans"], r["covered"]) for r in overlap.spans(df).collect()} == want
+    assert overlap.spans(df.limit(0)).count() == 0
 
 
 def test_quantiles_merge_delete_and_stay_within_bounds():
