@@ -8,7 +8,7 @@
    incidence matrix enter the product.
 4. A column with more cells than BLOCK is cut into square blocks, so a column that a third of the documents share
    is spread over tasks; frequencies of columns outside the list that need blocks are joined. Within a block the product is an outer sum in numpy
-   over the partners of a row's sizes only: a cell pair goes on when sizes and places allow o, and when the 512-bit sketches of both sets allow it
+   over the partners of a row's sizes only: a cell pair goes on when sizes and places allow o, and when the bit sketches of both sets allow it
    (a common word sets a common bit; a set of n words with k bits loses at most n - k of them to collisions).
 5. The counts of a pair are added up over all blocks. Behind its prefixes either set has o - SHARED words, so a pair whose sum
    stays below SHARED is discarded. All bounds are exact: no pair is lost.
@@ -37,7 +37,7 @@ P, Q = 7, 10
 HEAVY = 1 << 16
 BLOCK = 8192
 SHARED = 2
-SKETCH_WORDS = 8
+SKETCH_WORDS = (4, 8, 16)  # 64-bit words of a sketch: the least that has three bits a word of the mean set
 LEFT, RIGHT = 1, 2  # sides of a class; in one collection every class is on both
 CELLS = "token bigint, role int, side int, cls bigint, n int, at int, lost int, df bigint, sketch binary"
 PAIRS = "a bigint, b bigint, n int, m int, shared bigint"
@@ -56,6 +56,7 @@ class Order:
     tokens: np.ndarray
     df: np.ndarray
     below: int
+    words: int = SKETCH_WORDS[0]
 
     def frequency(self, tokens: np.ndarray) -> np.ndarray:
         """Exact for a token of the list, 0 for any other."""
@@ -74,7 +75,9 @@ def token_order(classes: DataFrame, heavy: int = HEAVY) -> Order:
     rows = token_frequencies(classes).filter("df > 1").orderBy(F.desc("df"), "token").limit(heavy).toPandas()
     token, df = rows["token"].to_numpy(np.int64), rows["df"].to_numpy(np.int64)
     by = np.argsort(token)
-    return Order(token[by], df[by], int(df.min()) if len(df) == heavy else 1)
+    mean = classes.agg(F.avg(F.size("tokens")).alias("n")).first()["n"] or 0
+    words = next((w for w in SKETCH_WORDS if 64 * w >= 3 * mean), SKETCH_WORDS[-1])
+    return Order(token[by], df[by], int(df.min()) if len(df) == heavy else 1, words)
 
 
 def ordered_tokens(tokens: pa.Array, order: Order) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,14 +92,14 @@ def ordered_tokens(tokens: pa.Array, order: Order) -> tuple[np.ndarray, np.ndarr
     return flat[by], row, at, freq[by], n
 
 
-def sketches(flat: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sketches(flat: np.ndarray, n: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """A bit set of each row's tokens, and how many tokens fell on a bit that was taken."""
-    bit = (flat.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - (SKETCH_WORDS * 64).bit_length() + 1)
+    bit = (flat.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - (words * 64).bit_length() + 1)
     start = np.concatenate(([0], np.cumsum(n)[:-1]))
     one = np.left_shift(np.uint64(1), bit & np.uint64(63))
-    out = np.zeros((len(n), SKETCH_WORDS), np.uint64)
+    out = np.zeros((len(n), words), np.uint64)
     if len(flat):
-        for w in range(SKETCH_WORDS):
+        for w in range(words):
             out[:, w] = np.bitwise_or.reduceat(np.where(bit >> np.uint64(6) == w, one, np.uint64(0)), start)
     return out, n - np.bitwise_count(out).sum(1).astype(np.int64)
 
@@ -120,7 +123,7 @@ def cells(order: Order):
                 continue
             cls, side = np.asarray(batch["cls"]), np.asarray(batch["side"])
             flat, row, at, freq, n = ordered_tokens(batch["tokens"], order)
-            sketch, lost = sketches(flat, n)
+            sketch, lost = sketches(flat, n, order.words)
             keep = np.flatnonzero(at < probe_length(n)[row])
             role = np.where(at[keep] < index_length(n)[row[keep]], 3, 2)
             for lo in range(0, len(keep), 200_000):
@@ -129,7 +132,7 @@ def cells(order: Order):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(flat[k]), pa.array(role[lo : lo + 200_000].astype(np.int32)), pa.array(side[r].astype(np.int32)), pa.array(cls[r]), pa.array(n[r].astype(np.int32)), pa.array(at[k].astype(np.int32)), pa.array(lost[r].astype(np.int32)), pa.array(freq[k]),
-                        pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH_WORDS * 8), len(r), [None, pa.py_buffer(np.ascontiguousarray(sketch[r]))]).cast(pa.binary()),
+                        pa.FixedSizeBinaryArray.from_buffers(pa.binary(order.words * 8), len(r), [None, pa.py_buffer(np.ascontiguousarray(sketch[r]))]).cast(pa.binary()),
                     ],
                     names=["token", "role", "side", "cls", "n", "at", "lost", "df", "sketch"],
                 )
@@ -177,42 +180,77 @@ def groups_of(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tup
         yield open_.combine_chunks(), np.zeros(1, np.int64)
 
 
+DENSE = 1 << 12
+CHUNK = 500_000
+
+
+def placed_pairs(x: np.ndarray, y: np.ndarray, n: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cells (i of x, j of y) of one column with n[i] <= n[j] whose sizes and places allow the overlap, and no others.
+
+    Rows of one size meet their partners in the order of size, along which the need grows, so each row's partners are a prefix: the work is
+    that of the pairs that come out.
+    """
+    if len(x) * len(y) <= DENSE:
+        nx, ny = n[x][:, None], n[y][None]
+        ok = (P * (nx + ny) <= (P + Q) * (np.minimum(nx - at[x][:, None], ny - at[y][None]) + (SHARED - 1))) & (nx <= ny) & (Q * nx >= P * ny)
+        i, j = np.nonzero(ok)
+        yield x[i], y[j]
+        return
+    x, y = x[np.argsort(n[x], kind="stable")], y[np.argsort(n[y], kind="stable")]
+    nx, ny, ry = n[x], n[y], n[y] - at[y]
+    starts = np.flatnonzero(np.append(True, nx[1:] != nx[:-1]))
+    for lo, hi in zip(starts, np.append(starts[1:], len(x)), strict=True):
+        size = int(nx[lo])
+        frm, to = np.searchsorted(ny, size, "left"), np.searchsorted(ny, Q * size // P, "right")
+        need = -(-P * (size + ny[frm:to]) // (P + Q)) - (SHARED - 1)
+        can = np.flatnonzero(ry[frm:to] >= need)
+        times = np.searchsorted(need[can], size - at[x[lo:hi]], "right")
+        total = np.cumsum(times)
+        while lo < hi:  # bounded pieces
+            k = max(1, int(np.searchsorted(total, CHUNK, "right")))
+            t = times[:k]
+            i = np.repeat(x[lo : lo + k], t)
+            yield i, y[frm + can[np.arange(len(i)) - np.repeat(np.cumsum(t) - t, t)]]
+            lo, times = lo + k, times[k:]
+            total = total[k:] - (total[k - 1] if k else 0)
+
+
+CACHED = 1 << 14  # pairs whose sketches fit a core's cache
+
+
+def common_bits(sketch: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits that the sketches of i and j share; the counts of a pair are added as lanes of one number."""
+    both = sketch[i]
+    both &= sketch[j]
+    wide = np.uint32 if sketch.shape[1] == 4 else np.uint64
+    bits = 8 * np.dtype(wide).itemsize
+    v = np.bitwise_count(both).view(wide)
+    even, lanes = wide(0x00FF00FF00FF00FF & ((1 << bits) - 1)), wide(0x0001000100010001 & ((1 << bits) - 1))
+    v = ((v & even) + ((v >> wide(8)) & even)) * lanes >> wide(bits - 16)
+    return (v[:, 0] if v.shape[1] == 1 else v.sum(1)).astype(np.int32)
+
+
 def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """mapInArrow over cells sorted by column block: pairs of classes of different sides that every bound allows, with the number of shared cells met here."""
     for t, starts in groups_of(batches, ["token", "bi", "bj"]):
         ends = np.append(starts[1:], t.num_rows)
         role, side, n, at, lost = (np.asarray(t[c]).astype(np.int32) for c in ("role", "side", "n", "at", "lost"))
         cls = np.asarray(t["cls"])
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(t.num_rows, -1)
         left, right = [], []
         for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
             g = np.arange(a, b)
             x, y = g[role[g] & 1 > 0], g[role[g] & 2 > 0]
             if not len(x) or not len(y):
                 continue
-            x, y = x[np.argsort(n[x], kind="stable")], y[np.argsort(n[y], kind="stable")]
-            ny, ry = n[y], n[y] - at[y]
-            lo = 0
-            while lo < len(x):
-                # Rows of like size meet the partners that are as large, and at most q / p times as large.
-                hi = int(np.searchsorted(n[x], n[x[lo]] + max(1, n[x[lo]] // 16), "left"))
-                frm, to = np.searchsorted(ny, n[x[lo]], "left"), np.searchsorted(ny, Q * int(n[x[hi - 1]]) // P, "right")
-                step = max(1, 2_000_000 // max(1, to - frm))
-                for at_x in range(lo, hi, step):
-                    xs = x[at_x : min(hi, at_x + step)]
-                    nx = n[xs][:, None]
-                    ok = P * (nx + ny[None, frm:to]) <= (P + Q) * (np.minimum(nx - at[xs][:, None], ry[None, frm:to]) + (SHARED - 1))
-                    i, j = np.nonzero(ok)
-                    i, j = xs[i], y[frm + j]
-                    once = ((n[i] < n[j]) | ((n[i] == n[j]) & (cls[i] < cls[j]))) & (Q * n[i] >= P * n[j]) & (((side[i] & LEFT > 0) & (side[j] & RIGHT > 0)) | ((side[i] & RIGHT > 0) & (side[j] & LEFT > 0)))
-                    i, j = i[once], j[once]
-                    for c in range(0, len(i), 500_000):
-                        ic, jc = i[c : c + 500_000], j[c : c + 500_000]
-                        shared = np.bitwise_count(sketch[ic] & sketch[jc]).sum(1).astype(np.int64)
-                        good = (P + Q) * (shared + np.minimum(lost[ic], lost[jc])) >= P * (n[ic] + n[jc])
-                        left.append(ic[good])
-                        right.append(jc[good])
-                lo = hi
+            for i, j in placed_pairs(x, y, n, at):
+                for lo in range(0, len(i), CACHED):
+                    ic, jc = i[lo : lo + CACHED], j[lo : lo + CACHED]
+                    good = (P + Q) * (common_bits(sketch, ic, jc) + np.minimum(lost[ic], lost[jc])) >= P * (n[ic] + n[jc])
+                    ic, jc = ic[good], jc[good]
+                    once = ((n[ic] < n[jc]) | (cls[ic] < cls[jc])) & (((side[ic] & LEFT > 0) & (side[jc] & RIGHT > 0)) | ((side[ic] & RIGHT > 0) & (side[jc] & LEFT > 0)))
+                    left.append(ic[once])
+                    right.append(jc[once])
         if left:
             x, y = np.concatenate(left), np.concatenate(right)
             pair, first, times = np.unique(np.stack([cls[x], cls[y]]), axis=1, return_index=True, return_counts=True)
