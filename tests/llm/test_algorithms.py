@@ -370,10 +370,34 @@ def test_packing(spark):
 
 def test_nnls_matches_the_conditions():
     rng = np.random.default_rng(2)
-    a, b = rng.random((20, 12)), rng.random(20)
-    x = packing.nnls(a, b)
-    w = a.T @ (b - a @ x)
-    assert (x >= 0).all() and (w[x == 0] <= 1e-8).all() and np.allclose(w[x > 0], 0, atol=1e-8)
+    for _ in range(20):
+        a, b = rng.random((20, 12)) * (rng.random((20, 12)) < 0.6), rng.random(20)
+        x = packing.nnls(a, b)
+        w = a.T @ (b - a @ x)
+        assert (x >= 0).all() and (w[x == 0] <= 1e-8).all() and np.allclose(w[x > 0], 0, atol=1e-8)
+
+
+def test_patterns_are_all_partitions():
+    got = packing.patterns(9, [1, 2, 3, 5, 9], 4)
+    want = {p for n in range(1, 5) for p in itertools.combinations_with_replacement([9, 5, 3, 2, 1], n) if sum(p) == 9}
+    assert set(got) == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_most_documents_are_packed_by_patterns(seed):
+    rng = np.random.default_rng(seed)
+    sizes = np.minimum(np.exp(rng.normal(5.2, 1.0, 4000)).astype(int) + 1, 2048)
+    histogram = Counter(sizes.tolist())
+    runs, containers = packing.plan(histogram)
+    plain = packing._plan(histogram, packing.CAPACITY, packing.CLASSES, 0.0)[1]
+    by_pattern = sum(r[2] for r in runs if r[5])
+    assert sum(r[2] for r in runs) == len(sizes) and by_pattern > 0.5 * len(sizes)
+    assert containers <= packing.SLACK * plain + 1 and containers <= 1.01 * np.ceil(sizes.sum() / 2048) + 1
+    load: Counter = Counter()
+    for s, _, count, first, each, _ in runs:
+        for c in range(count // each):
+            load[first + c] += s * each
+    assert max(load.values()) <= 2048 and len(load) == containers
 
 
 def test_records(spark):
