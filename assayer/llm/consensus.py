@@ -1,14 +1,17 @@
 """Consensus, agreement and rater reliability from votes (problem 5) by minimax conditional entropy.
 
-The vote x of rater i on question j with k options and right answer y is distributed as
-``exp((s_i + t_j) [x = y]) / (exp(s_i + t_j) + k - 1)``: the distribution of largest entropy among those that agree
-with the answers as often, per rater and per question, as was seen. s tilts raters, t tilts questions. Each round takes one
-Newton step on every s and t of the dual (coordinates of one kind don't interact given the other; the square of each
-is penalised by ALPHA or BETA), then recomputes the label posteriors, which minimise the entropy. Options differ between
-questions, so the indicator of a right vote is the one moment that all questions share.
+The vote x of rater i on question j, of kind c and with k options and right answer y, is distributed as
+``exp((s_ic + t_j) [x = y]) / (exp(s_ic + t_j) + k - 1)``: the distribution of largest entropy among those that agree
+with the answers as often, per rater and kind and per question, as was seen. s tilts raters, t tilts questions. Options differ between
+questions, so the indicator of a right vote is the moment that the questions of a kind share.
 
-Scale: votes are joined to raters and to (question, label) sums, both made with partial aggregates, so neither a hot
-rater nor a hot question is gathered; only the tables of raters and questions are written between rounds.
+Each round is coordinate ascent on the dual: label posteriors given s and t, then a Newton step on every s given t, then one on every t given
+the new s. Coordinates of one kind don't interact given the other; the square of each is penalised by ALPHA or BETA. The dual's value,
+the penalised log-likelihood of the votes with the answers summed out, is computed each round and reported (``p5_dual``); the fit ends when a round
+gains less than GAIN of it, and raises if MOST rounds don't reach that.
+
+Scale: raters and questions get numbers once, so that rounds shuffle numbers only. Votes are joined to raters and to (question, label) sums, both
+made with partial aggregates; the heaviest raters and labels are salted. Only the tables of raters, questions and posteriors are written between rounds.
 
 Counted votes are, per rater and question, the latest whose trimmed lower-case label is an option of the question. Defined
 results: null, blank and no-answer labels, votes on unknown questions or on questions with torn JSON don't count; two
@@ -21,11 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from assayer.llm.skew import hot_keys, skew_join
 from assayer.runtime import cut_lineage, release, table
 
 ALPHA = 1.0
 BETA = 4.0
-ROUNDS = 6
+GAIN, MOST = 1e-3, 60
 LEAST_VOTES = 20
 UNRELIABLE = 0.525
 
@@ -72,47 +76,75 @@ def counted_votes(votes: DataFrame, asked: DataFrame) -> DataFrame:
 KEY = ["item_id", "question_id"]
 
 
-def posteriors(votes: DataFrame, raters: DataFrame, items: DataFrame | None) -> DataFrame:
-    """(item_id, question_id, k, label, c, t, q): probability of each label that has votes."""
-    sums = votes.join(raters.select("rater_id", "s"), "rater_id").groupBy(*KEY, "kind", "k", "label").agg(F.sum("s").alias("s"), F.count("*").alias("c"))
-    sums = sums.join(items.select(*KEY, "t"), KEY, "left").withColumn("t", F.coalesce("t", F.lit(0.0))) if items is not None else sums.withColumn("t", F.lit(0.0))
-    own = Window.partitionBy(*KEY)  # at most one row per option
-    score = F.col("s") + F.col("c") * F.col("t")
+def posteriors(votes: DataFrame, tilts: DataFrame, items: DataFrame | None, hot: list[tuple]) -> DataFrame:
+    """(qid, k, label, c, t, q, z): probability of each label that has votes; z sums to the log-likelihood of the answers over a question's rows."""
+    sums = skew_join(votes, tilts.select("rid", "s"), ["rid"], hot=hot).groupBy("qid", "k", "label").agg(F.sum("s").alias("s"), F.count("*").alias("c"))
+    sums = sums.join(items.select("qid", "t"), "qid", "left").withColumn("t", F.coalesce("t", F.lit(0.0))) if items is not None else sums.withColumn("t", F.lit(0.0))
+    own = Window.partitionBy("qid")  # at most one row per option
+    part = F.exp(F.col("score") - F.col("top"))
     return (
-        sums.withColumn("score", score)
+        sums.withColumn("score", F.col("s") + F.col("c") * F.col("t"))
         .withColumn("top", F.greatest(F.max("score").over(own), F.lit(0.0)))
-        .withColumn("rest", (F.col("k") - F.count("*").over(own)) * F.exp(-F.col("top")))
-        .withColumn("q", F.exp(F.col("score") - F.col("top")) / (F.sum(F.exp(F.col("score") - F.col("top"))).over(own) + F.col("rest")))
-        .select(*KEY, "kind", "k", "label", "c", "t", "q")
+        .withColumn("seen", F.count("*").over(own))
+        .withColumn("all", F.sum(part).over(own) + (F.col("k") - F.col("seen")) * F.exp(-F.col("top")))
+        .select("qid", "k", "label", "c", "t", (part / F.col("all")).alias("q"), ((F.col("top") + F.log("all") - F.log("k")) / F.col("seen")).alias("z"))
     )
 
 
-def fit(votes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Posteriors, and raters (rater_id, votes, s, accuracy): accuracy is the mean probability of a right vote under the fitted tilts."""
-    raters = votes.groupBy("rater_id").agg(F.count("*").alias("votes")).withColumn("s", F.lit(1.0)).withColumn("accuracy", F.lit(None).cast("double"))
-    raters, items = cut_lineage(raters), None
-    for _ in range(rounds):
-        post = cut_lineage(posteriors(votes, raters, items))
-        e = F.exp(F.col("s") + F.col("t"))
-        right = e / (e + F.col("k") - 1)
-        seen = votes.join(post.select(*KEY, "label", "t", "q"), [*KEY, "label"]).join(raters.select("rater_id", "s"), "rater_id").withColumn("p", right)
-        slope, bend = F.sum(F.col("q") - F.col("p")), F.sum(F.col("p") * (1 - F.col("p")))
-        step = lambda at, hold: F.greatest(F.lit(-8.0), F.least(F.lit(8.0), F.col(at) + F.greatest(F.lit(-2.0), F.least(F.lit(2.0), (F.col("g") - hold * F.col(at)) / (F.col("h") + hold)))))
-        new_raters = cut_lineage(
-            seen.groupBy("rater_id", "s").agg(slope.alias("g"), bend.alias("h"), F.count("*").alias("votes"), F.avg("p").alias("p"), F.avg("q").alias("accuracy"))
-            .select("rater_id", "votes", step("s", ALPHA).alias("s"), "accuracy")
-        )
-        new_items = cut_lineage(seen.groupBy(*KEY, "t").agg(slope.alias("g"), bend.alias("h")).select(*KEY, step("t", BETA).alias("t")))
-        for old in (raters, items):
+def _stepped(at: str, hold: float):
+    """A Newton step of a coordinate from its slope g and bend h, of length 2 at most, where the model's sharpest moves overshoot."""
+    step = (F.col("g") - hold * F.col(at)) / (F.col("h") + hold)
+    return (F.col(at) + F.greatest(F.lit(-2.0), F.least(F.lit(2.0), step))).alias(at)
+
+
+def coded(votes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Votes as (qid, k, rid, label), and what the numbers stand for: a question, or a rater on one kind of question."""
+    questions = cut_lineage(votes.select(*KEY, "kind", "k").distinct().withColumn("qid", F.monotonically_increasing_id()))
+    raters = cut_lineage(votes.groupBy("rater_id", "kind").agg(F.count("*").alias("votes")).withColumn("rid", F.monotonically_increasing_id()))
+    named = skew_join(votes.join(questions, [*KEY, "kind", "k"]), raters.drop("votes"), ["rater_id", "kind"], hot=hot_keys(votes, ["rater_id", "kind"]))
+    return cut_lineage(named.select("qid", "k", "rid", "label")), questions, raters
+
+
+def dual_ascent(votes: DataFrame, raters: DataFrame, rounds: int | None = None) -> tuple[DataFrame, DataFrame, list[float]]:
+    """Posteriors, tilts (rid, s, accuracy) and the dual's value after each round. ``rounds`` runs exactly so many."""
+    hot, hot_labels = hot_keys(votes, ["rid"]), hot_keys(votes, ["qid", "label"])
+    tilts, items, values = cut_lineage(raters.select("rid", F.lit(1.0).alias("s"), F.lit(None).cast("double").alias("accuracy"), F.lit(0.0).alias("log"))), None, []
+    e = F.exp(F.col("s") + F.col("t"))
+    right = e / (e + F.col("k") - 1)
+    slope, bend = F.sum(F.col("q") - F.col("p")).alias("g"), F.sum(F.col("p") * (1 - F.col("p"))).alias("h")
+    while True:
+        post = cut_lineage(posteriors(votes, tilts, items, hot))
+        seen = skew_join(votes, post.select("qid", "label", "t", "q"), ["qid", "label"], hot=hot_labels)
+        tilted = lambda by: skew_join(seen, by.select("rid", "s"), ["rid"], hot=hot).withColumn("p", right)  # noqa: E731, B023
+        # The sums at the tilts that the posteriors were made with give the value of the dual and the next step of s at once.
+        moved = cut_lineage(tilted(tilts).groupBy("rid", "s").agg(slope, bend, F.avg("p").alias("accuracy"), F.sum(F.log(e + F.col("k") - 1) - F.log("k")).alias("log")))
+        held = (items.agg(F.sum(F.col("t") * F.col("t"))).first()[0] or 0.0) if items is not None else 0.0
+        sums = moved.agg(F.sum("log").alias("log"), F.sum(F.col("s") * F.col("s")).alias("s2")).first()
+        answers = post.agg(F.sum("z")).first()[0]
+        if answers is None:
+            return post, moved.select("rid", "s", "accuracy"), values
+        values.append(answers - sums["log"] - ALPHA / 2 * sums["s2"] - BETA / 2 * held)
+        done = len(values) > 1 and values[-1] - values[-2] < GAIN * abs(values[-1])
+        if (done and rounds is None) or (rounds is not None and len(values) > rounds):
+            return post, moved.select("rid", "s", "accuracy"), values
+        if len(values) > MOST:
+            raise ArithmeticError(f"the dual still gains {values[-1] - values[-2]} after {MOST} rounds")
+        new_tilts = cut_lineage(moved.select("rid", _stepped("s", ALPHA)))
+        new_items = cut_lineage(tilted(new_tilts).groupBy("qid", "t").agg(slope, bend).select("qid", _stepped("t", BETA)))
+        for old in (tilts, items, post, moved):
             if old is not None:
                 release(old)
-        release(post)
-        raters, items = new_raters, new_items
-    post = cut_lineage(posteriors(votes, raters, items))
-    e = F.exp(F.col("s") + F.col("t"))
-    seen = votes.join(post.select(*KEY, "label", "t"), [*KEY, "label"]).join(raters.select("rater_id", "s"), "rater_id")
-    done = seen.groupBy("rater_id", "s").agg(F.count("*").alias("votes"), F.avg(e / (e + F.col("k") - 1)).alias("accuracy"))
-    return post, cut_lineage(done)
+        tilts, items = new_tilts, new_items
+
+
+def fit(votes: DataFrame, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Posteriors (item_id, question_id, kind, k, label, c, q), and raters (rater_id, votes, s, accuracy): s is the mean tilt over the votes,
+    accuracy the mean probability of a right vote under the fitted tilts."""
+    numbers, questions, raters = coded(votes)
+    post, tilts, _ = dual_ascent(numbers, raters, rounds)
+    named = post.drop("k", "z").join(questions, "qid").drop("qid")
+    share = lambda c: (F.sum(F.col(c) * F.col("votes")) / F.sum("votes")).alias(c)
+    return named, raters.join(tilts, "rid").groupBy("rater_id").agg(F.sum("votes").alias("votes"), share("s"), share("accuracy"))
 
 
 def votes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +161,14 @@ def p5_raters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raters.select("rater_id", "votes", F.round("s", 6).alias("tilt"), F.round("accuracy", 6).alias("accuracy"))
 
 
+def p5_dual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dual's value after each round, and its gain as a share of it; the last gain is below GAIN."""
+    numbers, _, raters = coded(votes_of(spark, sf_dir))
+    _, _, values = dual_ascent(numbers, raters)
+    rows = [(k, float(v), None if k == 0 else float((v - values[k - 1]) / abs(v))) for k, v in enumerate(values)]
+    return spark.createDataFrame(rows, "round int, value double, gain double")
+
+
 def p5_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per question: votes, consensus, its probability, and the share of pairs of votes that agree."""
     post, _ = fit(votes_of(spark, sf_dir))

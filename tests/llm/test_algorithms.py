@@ -1,5 +1,6 @@
 import base64
 import itertools
+import os
 import re
 from collections import Counter
 
@@ -11,6 +12,7 @@ from assayer.llm import bpe, consensus, contraction, neardup, overlap, packing,
 from assayer.llm import records as R
 from assayer.llm.fmindex import FMIndex
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 RECS = "relation string, id string, text string, split string, origin string, origin_key string, owner_key string"
 
 
@@ -263,6 +265,21 @@ def test_quantiles_merge_delete_and_stay_within_bounds():
     assert (np.diff(code) >= 0).all() and quantiles.decode(code)[0] == 0 and np.isinf(quantiles.decode(code)[-1])
 
 
+def test_ranks_of_all_rows_against_the_exact_ones(spark):
+    if not os.path.isdir(SF):
+        pytest.skip("no test tables")
+    exact = {m: np.sort([r[0] for r in spark.read.parquet(f"{SF}/predictions.parquet").dropDuplicates(["pos"]).select(F.col(m).cast("double")).filter(f"{m} >= 0 AND NOT isnan({m})").collect()]) for m in quantiles.MEASURES}
+    for query in (quantiles.p2_whole, quantiles.p2_percentiles):
+        assert query(spark, SF).agg(F.max("rank_bound")).first()[0] <= quantiles.WANTED
+    for r in quantiles.p2_whole(spark, SF).collect():
+        v = exact[r["measure"]]
+        assert r["n"] == len(v)
+        for q in quantiles.QS:
+            x = r[f"p{int(100 * q)}"]
+            low, high = np.searchsorted(v, x * (1 - 2**-7), "left") / len(v), np.searchsorted(v, x * (1 + 2**-7), "right") / len(v)
+            assert low - r["rank_bound"] <= q <= high + r["rank_bound"]
+
+
 def test_codes_in_spark_equal_numpy(spark):
     rng = np.random.default_rng(3)
     v = [0.0, 1e-310, 2.0**-1022, 0.1, 1.0, 2.0, 1023.999, 2.0**1023, 1.7e308, float("inf"), *map(float, np.exp(rng.normal(0, 20, 2000)))]
@@ -310,6 +327,37 @@ def test_consensus_finds_unreliable_raters(spark):
     assert np.mean([best[i][1] == str(y) for i, y in truth.items()]) > 0.9
 
 
+def simulated_votes(seed=8, questions=250):
+    rng = np.random.default_rng(seed)
+    skill = {f"r{i}": 0.85 for i in range(12)} | {"bad0": 0.3, "bad1": 0.25}
+    rows = []
+    for j in range(questions):
+        y, k = int(rng.integers(0, 2)), 2 + j % 2
+        for r in rng.choice(list(skill), 5, replace=False):
+            rows.append((f"i{j}", "q", ("noul", "choice")[j % 2], k, str(r), str(y if rng.random() < skill[r] else (y + int(rng.integers(1, k))) % k)))
+    return rows
+
+
+def test_the_dual_rises_until_it_gains_little(spark, monkeypatch):
+    votes = spark.createDataFrame(simulated_votes(), VOTES)
+    numbers, _, raters = consensus.coded(votes)
+    _, tilts, values = consensus.dual_ascent(numbers, raters)
+    assert len(values) > 3 and all(b > a for a, b in itertools.pairwise(values)) and values[-1] - values[-2] < consensus.GAIN * values[-1]
+    plain = {r["rid"]: r["s"] for r in tilts.collect()}
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (40,))  # salted raters and labels change nothing
+    assert len(skew.hot_keys(numbers, ["rid"])) > 0
+    _, tilts, again = consensus.dual_ascent(numbers, raters)
+    assert np.allclose(again, values) and all(abs(r["s"] - plain[r["rid"]]) < 1e-9 for r in tilts.collect())
+    monkeypatch.setattr(consensus, "MOST", 2)
+    with pytest.raises(ArithmeticError):
+        consensus.dual_ascent(numbers, raters)
+
+
+def test_consensus_of_no_votes(spark):
+    post, raters = consensus.fit(spark.createDataFrame([], VOTES))
+    assert post.count() == 0 and raters.count() == 0
+
+
 def test_counted_votes(spark):
     asked = spark.createDataFrame([("i", "q", "choice", ["yes", "no"])], "item_id string, question_id string, kind string, options array<string>")
     rows = [("i", "q", "a", " YES ", "2020-01-01"), ("i", "q", "a", "no", "2020-01-02"), ("i", "q", "b", "n/a", "2020-01-01"), ("i", "q", "c", None, None), ("i", "q", "d", "no", None), ("x", "q", "a", "no", None), ("i", "q", None, "no", None)]
