@@ -101,7 +101,7 @@ def bin_index(p: Column, bins: int = BINS) -> Column:
 def temperature_scale(candidates: Column, temperature: float) -> Column:
     """max(p, EPS) ** (1 / T) over its sum, as a map."""
     if temperature <= 0:
-        raise ValueError(f"temperature must be > 0, got {temperature!r}")
+        raise ValueError(f"a temperature is positive; {temperature} is not")
     powered = F.transform_values(candidates, lambda _, v: F.pow(F.greatest(v, F.lit(EPS)), F.lit(1.0 / temperature)))
     return _over_sum(powered)
 
@@ -185,3 +185,10 @@ def wilson(correct: Column, n: Column, z: float = 1.959964) -> tuple[Column, Col
     mid, half = p + z * z / (2 * d), z * F.sqrt(p * (1 - p) / d + z * z / (4 * d * d))
     low, high = (mid - half) / (1 + z * z / d), (mid + half) / (1 + z * z / d)
     return F.when(n > 0, F.greatest(low, F.lit(0.0))).otherwise(0.0), F.when(n > 0, F.least(high, F.lit(1.0))).otherwise(1.0)
+
+
+def fake_quantised(values: Column, bits: int) -> Column:
+    """Symmetric rounding of a vector to steps of its largest magnitude over 2 ** (bits - 1) - 1, half to even, as real numbers again."""
+    top = F.array_max(F.transform(values, lambda x: F.abs(x)))
+    step = top / ((1 << (bits - 1)) - 1)
+    return F.when(top == 0, F.transform(values, lambda _: F.lit(0.0))).otherwise(F.transform(values, lambda x: F.round(F.rint(x / step) * step, 6)))

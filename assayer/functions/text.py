@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 
@@ -55,7 +59,6 @@ def seeded_hash(seed: str, ident: Column, digits: int = 16) -> Column:
     return F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), ident), 256), 1, digits), 16, 10).cast("decimal(20,0)")
 
 
-PRIVATE = r"\b(?:10|127)(?:\.\d{1,3}){3}\b|\b192\.168(?:\.\d{1,3}){2}\b|\b172\.(?:1[6-9]|2\d|3[01])(?:\.\d{1,3}){2}\b|\b100\.(?:6[4-9]|[7-9]\d|1[01]\d|12[0-7])(?:\.\d{1,3}){2}\b|\b169\.254(?:\.\d{1,3}){2}\b"
 REDACTIONS = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<email>"),
     ("url", r"https?://[^\s\"'<>]+", "<url>"),
@@ -82,3 +85,58 @@ def redactions_fired(t: Column) -> Column:
 def split_words(name: Column) -> Column:
     """Sides that a file name or header marks, by whole words."""
     return F.array_sort(F.array_distinct(F.array_intersect(F.split(F.lower(name), "[^a-z0-9]+"), F.array(*[F.lit(x) for x in ("test", "held", "heldout", "validation", "val", "train")]))))
+
+
+def strip_value(t: Column, value: Column) -> tuple[Column, Column]:
+    """The text with every span that names ``value`` replaced by a vague reference, and whether it had one."""
+    plain = F.regexp_replace(F.trim(value), r"([^A-Za-z0-9 ])", r"\\$1")
+    pattern = F.concat(F.lit("(?i)(^|[^A-Za-z0-9])"), plain, F.lit("([^A-Za-z0-9]|$)"))
+    return F.regexp_replace(t, pattern, F.lit("$1that one$2")), F.regexp(t, pattern) & (F.trim(value) != "")
+
+
+def _first_object(said: str | None) -> str | None:
+    at = said.find("{") if said else -1
+    while at >= 0:
+        depth, quoted, skip = 0, False, False
+        for k in range(at, len(said)):
+            c = said[k]
+            if skip:
+                skip = False
+            elif quoted:
+                skip, quoted = c == "\\", c != '"'
+            elif c == '"':
+                quoted = True
+            elif c == "{":
+                depth += 1
+            elif c == "}":
+                depth -= 1
+                if depth == 0:
+                    try:
+                        json.loads(said[at : k + 1])
+                        return said[at : k + 1]
+                    except ValueError:
+                        break
+        at = said.find("{", at + 1)
+    return None
+
+
+@F.pandas_udf(StringType())
+def first_object(said: pd.Series) -> pd.Series:
+    """The first balanced JSON object in what a model said, whatever stands around it; braces in strings don't count. Balance is no regular language, so this is Python."""
+    return said.map(_first_object)
+
+
+def verdict(said: Column) -> Column:
+    """yes or no of the object's verdict, else null."""
+    v = F.lower(F.trim(F.get_json_object(first_object(said), "$.verdict")))
+    return F.when(v.isin("yes", "no"), v)
+
+
+def row_digest(*columns: str) -> Column:
+    """48 bits of a digest of a row; sums of them don't depend on order and merge by addition."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])), 1, 12), 16, 10).cast("decimal(20,0)")
+
+
+def table_line(*columns: str) -> Column:
+    """A row of a report table."""
+    return F.concat(F.lit("| "), F.concat_ws(" | ", *[F.col(c).cast("string") for c in columns]), F.lit(" |"))

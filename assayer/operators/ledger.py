@@ -1,65 +1,83 @@
-"""Small append-only logs that one writer owns: a hash chain of decisions, a once-only ledger, stage staleness."""
+"""Append-only logs as tables: chained decisions, logs of one decision a line, measurements that may be made once, stages that are stale.
+
+A log is one writer's and orders its lines, so its digests are made in one pass over its bytes; every check on them is a DataFrame of violations.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable, Mapping
-from pathlib import Path
+from collections.abc import Iterable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+LINE = "place long, id string, cited string, digest string, overrides string, broken boolean"
 
 
 class LedgerError(ValueError):
     pass
 
 
-def read_chain(path: Path) -> list[dict]:
-    """Decisions D1..Dn; each line must cite the sha256 of all bytes before it."""
-    data = path.read_bytes() if path.exists() else b""
-    out: list[dict] = []
-    at = 0
-    for n, line in enumerate(data.splitlines(keepends=True), 1):
-        row = json.loads(line)
-        if row.get("id") != f"D{n}":
-            raise LedgerError(f"line {n}: id is {row.get('id')!r}, not D{n}")
-        if row.get("prev_sha256") != hashlib.sha256(data[:at]).hexdigest():
-            raise LedgerError(f"line {n}: the lines before it were changed")
-        if row.get("overrides") is not None and row["overrides"] not in {r["id"] for r in out}:
-            raise LedgerError(f"line {n}: it overrides an unknown decision")
-        out.append(row)
-        at += len(line)
-    return out
+def chain_lines(spark: SparkSession, lines: Iterable[bytes]) -> DataFrame:
+    """One row a line with the digest of all bytes before it, kept by a running hash; a line that is no JSON object is broken."""
+    seen, rows = hashlib.sha256(), []
+    for place, line in enumerate(lines, 1):
+        try:
+            said = json.loads(line)
+        except ValueError:
+            said = None
+        fields = said if isinstance(said, dict) else {}
+        rows.append((place, fields.get("id"), fields.get("prev_sha256"), seen.hexdigest(), fields.get("overrides"), not isinstance(said, dict)))
+        seen.update(line)
+    return spark.createDataFrame(rows, LINE)
+
 
+def chain_violations(lines: DataFrame) -> DataFrame:
+    """(place, rule): broken, out_of_order, changed_before, unknown_override. An intact log has none."""
+    known = lines.select(F.col("id").alias("overrides"), F.col("place").alias("_at"))
+    late = lines.filter("overrides IS NOT NULL").join(known, "overrides", "left").groupBy("place").agg(F.coalesce(F.min("_at") < F.col("place"), F.lit(False)).alias("ok"))
+    rules = {"broken": F.col("broken"), "out_of_order": ~F.col("broken") & ~F.col("id").eqNullSafe(F.concat(F.lit("D"), F.col("place"))), "changed_before": ~F.col("broken") & ~F.col("cited").eqNullSafe(F.col("digest"))}
+    named = F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in rules.items()]))
+    return lines.select("place", F.explode(named).alias("rule")).unionByName(late.filter(~F.col("ok")).select("place", F.lit("unknown_override").alias("rule")))
 
-def append_chain(path: Path, row: Mapping) -> dict:
-    before = read_chain(path)
-    data = path.read_bytes() if path.exists() else b""
-    new = dict(row) | {"id": f"D{len(before) + 1}", "prev_sha256": hashlib.sha256(data).hexdigest()}
-    with path.open("ab") as f:
-        f.write(json.dumps(new, sort_keys=True).encode() + b"\n")
-    read_chain(path)
-    return new
 
+def chained(spark: SparkSession, lines: Sequence[bytes], new: Mapping) -> bytes:
+    """The line that ``new`` becomes behind an intact log; a log with violations takes none."""
+    bad = chain_violations(chain_lines(spark, lines)).limit(3).collect()
+    if bad:
+        raise LedgerError(f"the log is not intact: {[(r['place'], r['rule']) for r in bad]}")
+    whole = b"".join(lines)
+    return json.dumps({**new, "id": f"D{len(lines) + 1}", "prev_sha256": hashlib.sha256(whole).hexdigest()}, sort_keys=True).encode() + b"\n"
 
-class OnceLedger:
-    """(side, slice) may be measured once, unless a deviation is named; a torn last line is left out."""
 
-    def __init__(self, path: Path) -> None:
-        self.path = path
+def latest(log: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """The last record of each key: an ordered aggregate, no sort of a key's records in a window."""
+    rest = [c for c in log.columns if c not in keys]
+    order = F.struct(*seq, *[c for c in rest if c not in seq])
+    return log.groupBy(*keys).agg(F.max(order).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
-    def records(self) -> list[dict]:
-        if not self.path.exists():
-            return []
-        lines = self.path.read_text().split("\n")
-        return [json.loads(x) for x in lines[:-1] if x.strip()]
 
-    def check(self, side: str, part: str, deviation: str | None = None) -> None:
-        if deviation is None and any((r["side"], r["slice"]) == (side, part) for r in self.records()):
-            raise LedgerError(f"{side}/{part} was measured before")
+def once_states(log: DataFrame, keys: Sequence[str], order: Sequence[str], deviation: str) -> DataFrame:
+    """Each measurement with its state: first of its keys, deviation where one is named, else refused."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return log.withColumn("state", F.when(place == 1, "first").when(F.col(deviation).isNotNull(), "deviation").otherwise("refused"))
+
+
+def trainable(corrections: DataFrame, decisions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Corrections whose last decision keeps or edits them: keys and ``target``.
+
+    ``corrections`` has keys, seq and label; ``decisions`` has keys, seq, action (keep, edit, reject), cites (hash of the label it judged) and payload. A decision on
+    another state of the correction is stale and counts as none.
+    """
+    now = latest(corrections.select(*keys, "seq", "label"), keys, ["seq"]).drop("seq")
+    said = latest(decisions.select(*keys, "seq", "action", "cites", "payload"), keys, ["seq"]).drop("seq")
+    good = now.join(said, list(keys)).filter((F.col("action") != "reject") & (F.col("cites") == label_hash(F.col("label"))))
+    return good.select(*keys, F.when(F.col("action") == "edit", F.col("payload")).otherwise(F.col("label")).alias("target"))
+
 
-    def append(self, side: str, part: str, deviation: str | None = None) -> None:
-        self.check(side, part, deviation)
-        with self.path.open("a") as f:
-            f.write(json.dumps({"side": side, "slice": part, "deviation": deviation}) + "\n")
+def label_hash(label: Column) -> Column:
+    return F.md5(F.coalesce(label, F.lit("")))
 
 
 def content_hash(value: object) -> str:

@@ -37,3 +37,27 @@ def rank_by_range(df: DataFrame, part: Sequence[str], order: Sequence[str], out:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
     return running(ranged, part, F.col("_range"), order, F.lit(1).cast("bigint"), out).drop("_range")
+
+
+def quota(n: Column, fractions: Sequence[Column]) -> Column:
+    """Struct (a, b, c) of items per side: largest remainder, ties to the earlier side; from three items on no side is empty, the largest side gives."""
+    raw = [n * f for f in fractions]
+    low = [F.floor(x) for x in raw]
+    over = [x - y for x, y in zip(raw, low, strict=True)]
+    left = n - low[0] - low[1] - low[2]
+    place = lambda i: F.lit(1) + sum(((over[j] >= over[i]) if j < i else (over[j] > over[i])).cast("int") for j in range(3) if j != i)
+    first = F.struct(*[(low[i] + (place(i) <= left).cast("int")).alias(k) for i, k in enumerate("abc")])
+
+    def filled(s: Column, to: str) -> Column:
+        x, y = (k for k in "abc" if k != to)
+        empty = s[to] == 0
+        give = {x: empty & (s[x] >= s[y]), y: empty & (s[x] < s[y])}
+        return F.struct(*[(F.greatest(s[k], F.lit(1)) if k == to else s[k] - give[k].cast("int")).alias(k) for k in "abc"])
+
+    def bound(s: Column, to: str) -> Column:
+        return F.transform(F.array(s), lambda v: filled(v, to))[0]  # a variable, not copied into every use
+
+    def all_filled(s: Column) -> Column:
+        return bound(bound(bound(s, "a"), "b"), "c")
+
+    return F.when(n >= 3, all_filled(first)).otherwise(first)

@@ -73,3 +73,15 @@ j AS (SELECT *, proposed AND same_op AND same_args AS "right", proposed AND NOT
    proposed AND NOT coalesce(op_read_only, false) AND same_op AND NOT same_args AS wrong_arguments,
    coalesce(offered, list_sort(map_keys(candidates))) AS offer,
    ends_with(id, '-nocand') OR (candidates IS NOT NULL AND NOT list_contains(list_transform(coalesce(offered, list_sort(map_keys(candidates))), lambda x: {CANON.format("x")}), {CANON.format("gold")})) AS missing FROM j2)"""
+
+
+def quota_sql(key: str, source: str, fractions: tuple[str, str, str]) -> str:
+    """(key, n, a, b, c): items of n per side by largest remainder, each side at least one where n has three."""
+    f = fractions
+    return f"""(SELECT {key}, n, CASE WHEN n >= 3 THEN a3 ELSE a1 END AS a, CASE WHEN n >= 3 THEN b3 ELSE b1 END AS b, CASE WHEN n >= 3 THEN c3 ELSE c1 END AS c FROM (
+ SELECT *, CASE WHEN c2 = 0 AND a2b >= b2 THEN a2b - 1 ELSE a2b END AS a3, CASE WHEN c2 = 0 AND a2b < b2 THEN b2 - 1 ELSE b2 END AS b3, greatest(c2, 1) AS c3 FROM (
+ SELECT *, CASE WHEN b1a = 0 AND a2 >= c1a THEN a2 - 1 ELSE a2 END AS a2b, greatest(b1a, 1) AS b2, CASE WHEN b1a = 0 AND a2 < c1a THEN c1a - 1 ELSE c1a END AS c2 FROM (
+ SELECT *, greatest(a1, 1) AS a2, CASE WHEN a1 = 0 AND b1 >= c1 THEN b1 - 1 ELSE b1 END AS b1a, CASE WHEN a1 = 0 AND b1 < c1 THEN c1 - 1 ELSE c1 END AS c1a FROM (
+ SELECT *, a0 + (1 + (fb > fa)::INT + (fc > fa)::INT <= r)::INT AS a1, b0 + (1 + (fa >= fb)::INT + (fc > fb)::INT <= r)::INT AS b1, c0 + (1 + (fa >= fc)::INT + (fb >= fc)::INT <= r)::INT AS c1 FROM (
+ SELECT *, n - a0 - b0 - c0 AS r, n * x - a0 AS fa, n * y - b0 AS fb, n * z - c0 AS fc FROM (
+ SELECT *, floor(n * x)::BIGINT AS a0, floor(n * y)::BIGINT AS b0, floor(n * z)::BIGINT AS c0 FROM (SELECT *, ({f[0]})::DOUBLE AS x, ({f[1]})::DOUBLE AS y, ({f[2]})::DOUBLE AS z FROM {source}))))))))"""

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from assayer.functions import labels as L
 from assayer.functions import text as T
-from assayer.operators.ranking import rank_by_hash
-from assayer.plans.base import CAND, JUDGED, P, S, entries, judged, preds, query, r6
-from assayer.plans.text import SIDE, SW, worded
+from assayer.operators.ranking import quota, rank_by_hash
+from assayer.plans.base import CAND, JUDGED, P, S, entries, judged, preds, query, quota_sql, r6
+from assayer.plans.text import SIDE, SW, sided, worded
 from assayer.plans.typed import AL, GT, T as TBL, TQ, VT, aligned, bench, gold_and_teacher, typed
 from assayer.runtime import table
 from assayer.sources import records as R
@@ -23,23 +23,12 @@ def b19(spark, d):
 
 @query(
     "b27_vote_validation",
-    f"WITH {TQ}, q AS (SELECT id, qid, list_transform(options, lambda o: lower(trim(o))) AS options FROM tq), v AS (SELECT item_id, question_id, lower(trim(label)) AS label FROM rater_votes WHERE starts_with(item_id, 'td')) SELECT CASE WHEN label IS NULL OR label = '' THEN 'blank' WHEN q.id IS NULL THEN 'unknown_question' WHEN NOT list_contains(options, label) THEN 'unknown_label' ELSE 'valid' END AS state, count(*) AS n FROM v LEFT JOIN q ON q.id = v.item_id AND q.qid = v.question_id GROUP BY 1",
-)
-def b27(spark, d):
-    q = R.typed_questions(typed(spark, d)).select(F.col("id").alias("item_id"), F.col("qid").alias("question_id"), F.transform("options", lambda o: F.lower(F.trim(o))).alias("options"))
-    v = table(spark, d, "rater_votes").filter(F.col("item_id").startswith("td")).select("item_id", "question_id", F.lower(F.trim("label")).alias("label"))
-    state = F.when(F.col("label").isNull() | (F.col("label") == ""), "blank").when(F.col("options").isNull(), "unknown_question").when(~F.array_contains("options", F.col("label")), "unknown_label").otherwise("valid")
-    return v.join(q, ["item_id", "question_id"], "left").groupBy(state.alias("state")).agg(F.count("*").alias("n"))
-
-
-@query(
-    "b27_all_votes",
     f"""WITH {TQ}, b0 AS (SELECT id, question::JSON->'criteria' AS criteria FROM bn WHERE json_valid(question)),
 q0 AS (SELECT id, qid, options FROM tq UNION ALL SELECT id, 'question', CASE WHEN json_type(criteria) = 'OBJECT' THEN json_keys(criteria) ELSE list_transform(range(0, json_array_length(criteria)::BIGINT), lambda i: i::VARCHAR) END FROM b0),
 q AS (SELECT id, qid, list_transform(options, lambda o: lower(trim(o))) AS options FROM q0), v AS (SELECT item_id, question_id, lower(trim(label)) AS label FROM rater_votes)
 SELECT CASE WHEN label IS NULL OR label = '' THEN 'blank' WHEN q.id IS NULL THEN 'unknown_question' WHEN NOT coalesce(list_contains(options, label), false) THEN 'unknown_label' ELSE 'valid' END AS state, count(*) AS n FROM v LEFT JOIN q ON q.id = v.item_id AND q.qid = v.question_id GROUP BY 1""",
 )
-def b27_all(spark, d):
+def b27(spark, d):
     """States of all votes, on typed_rows and on bench_rows, whatever their ids."""
     asked = R.typed_questions(typed(spark, d)).select("id", "qid", "options").unionByName(R.bench_questions(bench(spark, d).filter(F.try_parse_json("question").isNotNull())).select("id", F.lit("question").alias("qid"), "options"))
     q = asked.select(F.col("id").alias("item_id"), F.col("qid").alias("question_id"), F.transform("options", lambda o: F.lower(F.trim(o))).alias("options"), F.lit(True).alias("asked"))
@@ -106,10 +95,13 @@ def c28(spark, d):
     return table(spark, d, "rater_votes").select("item_id").join(t, "item_id").groupBy("split").agg(F.count("*").alias("votes"))
 
 
-@query("c31_approval_completeness", f"WITH {TBL} SELECT id FROM t WHERE lower(trim(split)) = 'test' AND id NOT IN (SELECT item_id FROM rater_votes WHERE label IS NOT NULL)")
+@query("c31_approval_completeness", f"WITH {TQ}, v AS (SELECT DISTINCT item_id AS id, question_id AS qid FROM rater_votes WHERE label IS NOT NULL AND trim(label) != ''), a AS (SELECT id, qid, count(v.qid) AS voted FROM tq LEFT JOIN v USING (id, qid) GROUP BY ALL), r AS (SELECT id, count(*) AS questions, count(*) FILTER (WHERE voted > 0) AS voted FROM a GROUP BY id) SELECT id, questions, voted, voted = questions AS complete FROM r")
 def c31(spark, d):
-    voted = table(spark, d, "rater_votes").filter("label IS NOT NULL").select(F.col("item_id").alias("id"))
-    return typed(spark, d).filter(F.lower(F.trim("split")) == "test").select("id").join(voted, "id", "left_anti")
+    """Questions of each row and how many have an answer of someone; a row is approved only if all have."""
+    voted = table(spark, d, "rater_votes").filter("trim(label) != ''").select(F.col("item_id").alias("id"), F.col("question_id").alias("qid")).distinct().withColumn("v", F.lit(1))
+    q = R.typed_questions(typed(spark, d)).select("id", "qid").join(voted, ["id", "qid"], "left")
+    r = q.groupBy("id").agg(F.count("*").alias("questions"), F.count("v").alias("voted"))
+    return r.withColumn("complete", F.col("voted") == F.col("questions"))
 
 
 @query("c32_equal_maps", f"WITH {P} SELECT pos, list_sort(map_entries(raw_probabilities)) = list_sort(map_entries(candidates)) AS same FROM p WHERE raw_probabilities IS NOT NULL AND candidates IS NOT NULL")
@@ -205,23 +197,29 @@ def h38(spark, d):
     return g.groupBy(rule.alias("rule")).agg(F.count("*").alias("n"))
 
 
-@query("h39_weight_budget", "SELECT coalesce(backbone, 'none') AS backbone, sum(weight_bits)::BIGINT AS bits, sum(weight_bits) < 120 AS within FROM models GROUP BY 1")
+@query("h39_weight_budget", "SELECT model, weight_bits * 110000000::BIGINT // 8 AS bytes, weight_bits * 110000000::BIGINT // 8 < 100000000 AS within FROM models")
 def h39(spark, d):
-    return table(spark, d, "models").groupBy(F.coalesce("backbone", F.lit("none")).alias("b")).agg(F.sum("weight_bits").alias("bits"), (F.sum("weight_bits") < 120).alias("within")).withColumnRenamed("b", "backbone")
+    """Bytes of a model's weights, of a parameter count given by the caller, strictly below a budget."""
+    size = F.floor(F.col("weight_bits").cast("bigint") * 110_000_000 / 8).cast("bigint")
+    return table(spark, d, "models").select("model", size.alias("bytes"), (size < 100_000_000).alias("within"))
+
+
+SIZED = 60  # units of validation and of test
 
 
 @query(
     "i2_sized_split",
-    f"""WITH {S}, g AS (SELECT coalesce(source_id, id) AS unit, min(kind || '|' || entry_class) AS stratum FROM s GROUP BY 1), n AS (SELECT stratum, count(*) AS n FROM g GROUP BY 1), r AS (SELECT g.*, n.n, row_number() OVER (PARTITION BY g.stratum ORDER BY sha256('17:' || unit), unit) AS k FROM g JOIN n USING (stratum))
-SELECT unit, CASE WHEN k <= floor(n * 0.1 + 0.5) THEN 'validation' WHEN k <= floor(n * 0.1 + 0.5) + floor(n * 0.1 + 0.5) THEN 'test' ELSE 'train' END AS side FROM r""",
+    f"""WITH {S}, g AS (SELECT coalesce(source_id, id) AS unit, min(kind || '|' || coalesce(entry_class, '')) AS stratum FROM s GROUP BY 1), n AS (SELECT stratum, count(*) AS n, (SELECT count(*) FROM g) AS everyone FROM g GROUP BY 1), r AS (SELECT g.*, row_number() OVER (PARTITION BY g.stratum ORDER BY sha256('17:' || unit), unit) AS k FROM g)
+SELECT unit, CASE WHEN k <= a THEN 'train' WHEN k <= a + b THEN 'validation' ELSE 'test' END AS side FROM r JOIN {quota_sql("stratum", "n", (f"1 - 2.0 * least({SIZED}, everyone / 3) / everyone", f"1.0 * least({SIZED}, everyone / 3) / everyone", f"1.0 * least({SIZED}, everyone / 3) / everyone"))} q USING (stratum)""",
 )
 def i2(spark, d):
-    """Validation and test of a tenth per (kind, class) stratum, rounded half up; the rest is train."""
-    g = entries(spark, d).groupBy(F.coalesce("source_id", "id").alias("unit")).agg(F.min(F.concat("kind", F.lit("|"), "entry_class")).alias("stratum"))
-    n = g.groupBy("stratum").agg(F.count("*").alias("n"))
-    ranked = rank_by_hash(g.withColumn("h", F.sha2(F.concat(F.lit("17:"), "unit"), 256)), ["stratum"], "h", "unit")
-    part = F.floor(F.col("n") * 0.1 + 0.5)
-    return ranked.join(n, "stratum").select("unit", F.when(F.col("k") <= part, "validation").when(F.col("k") <= 2 * part, "test").otherwise("train").alias("side"))
+    """Validation and test of SIZED units each (a third at most), dealt to the (kind, class) strata by largest remainder; the rest is train."""
+    g = entries(spark, d).groupBy(F.coalesce("source_id", "id").alias("unit")).agg(F.min(F.concat("kind", F.lit("|"), F.coalesce("entry_class", F.lit("")))).alias("stratum"))
+    every = g.agg(F.count("*").alias("everyone"))  # one row
+    part = F.lit(1.0) * F.least(F.lit(float(SIZED)), F.col("everyone") / 3) / F.col("everyone")
+    whole = F.lit(1) - F.lit(2.0) * F.least(F.lit(float(SIZED)), F.col("everyone") / 3) / F.col("everyone")
+    n = g.groupBy("stratum").agg(F.count("*").alias("n")).join(F.broadcast(every)).withColumn("q", quota(F.col("n"), [whole, part, part]))
+    return rank_by_hash(g.withColumn("h", F.sha2(F.concat(F.lit("17:"), "unit"), 256)), ["stratum"], "h", "unit").join(n, "stratum").select("unit", sided().alias("side"))
 
 
 @query("i5_dataset_build", f"WITH {SW}, k AS (SELECT *, ('0x' || left(sha256('3:' || coalesce(source_id, id)), 15))::BIGINT % 1000 AS h FROM w WHERE split IS NOT NULL AND coalesce(n, '') != '' AND len(words) <= 60) SELECT source, CASE WHEN h < 100 THEN 'held_out' WHEN h < 676 THEN 'fit' WHEN h < 820 THEN 'selection' ELSE 'test' END AS side, count(*) AS n FROM k GROUP BY ALL")

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from assayer.functions import labels as L
 from assayer.functions import text as T
 from assayer.operators import bootstrap, calibration
-from assayer.operators.ranking import rank_by_hash, running
-from assayer.plans.base import CANON, GOLD, JUDGED, KIND, P, S, entries, judged, preds, query, r6
+from assayer.operators.ranking import quota, rank_by_hash, running
+from assayer.plans.base import CANON, GOLD, JUDGED, KIND, P, S, entries, judged, preds, query, quota_sql, r6
 from assayer.plans.metrics import SLICED, sliced
-from assayer.plans.text import SW, worded
+from assayer.plans.text import SW, sided, worded
 from assayer.runtime import table
 from assayer.streaming import shadow
 
@@ -92,11 +92,12 @@ def b30(spark, d):
 ARGS_OF = "list_sort(map_entries(coalesce({0}.expect.args, MAP {{}}::MAP(VARCHAR, VARCHAR))))"
 
 
-@query("c5_variation_to_source", f"WITH {SW}, f AS (SELECT source_id, min(id) AS origin FROM w WHERE source_id IS NOT NULL GROUP BY 1) SELECT w.id, f.origin, w.expect.operation IS NOT DISTINCT FROM o.expect.operation AND w.expect.escalate IS NOT DISTINCT FROM o.expect.escalate AND {ARGS_OF.format('w')} = {ARGS_OF.format('o')} AS same FROM w JOIN f USING (source_id) JOIN w o ON o.id = f.origin WHERE w.id != f.origin")
+@query("c5_variation_to_source", f"WITH {SW}, f AS (SELECT source, kind, min(id) AS origin FROM w WHERE source IS NOT NULL GROUP BY 1, 2) SELECT w.id, f.origin, w.expect.operation IS NOT DISTINCT FROM o.expect.operation AND w.expect.escalate IS NOT DISTINCT FROM o.expect.escalate AND {ARGS_OF.format('w')} = {ARGS_OF.format('o')} AS same FROM w JOIN f USING (source, kind) JOIN w o ON o.id = f.origin WHERE w.id != f.origin")
 def c5(spark, d):
-    w = worded(spark, d).select("id", "source_id", F.col("expect.operation").alias("op"), F.col("expect.escalate").alias("esc"), F.array_sort(F.map_entries(F.coalesce("expect.args", F.create_map().cast("map<string,string>")))).alias("args"))
-    f = w.filter("source_id IS NOT NULL").groupBy("source_id").agg(F.min_by(F.struct("id", "op", "esc", "args"), "id").alias("o"))
-    j = w.join(f, "source_id").filter("id != o.id")
+    """An entry against the first of its source and kind, of which it is a variation."""
+    w = worded(spark, d).select("id", "source", "kind", F.col("expect.operation").alias("op"), F.col("expect.escalate").alias("esc"), F.array_sort(F.map_entries(F.coalesce("expect.args", F.create_map().cast("map<string,string>")))).alias("args"))
+    f = w.filter("source IS NOT NULL").groupBy("source", "kind").agg(F.min_by(F.struct("id", "op", "esc", "args"), "id").alias("o"))
+    j = w.join(f, ["source", "kind"]).filter("id != o.id")
     return j.select("id", F.col("o.id").alias("origin"), (F.col("op").eqNullSafe(F.col("o.op")) & F.col("esc").eqNullSafe(F.col("o.esc")) & (F.col("args") == F.col("o.args"))).alias("same"))
 
 
@@ -111,14 +112,16 @@ def c20(spark, d):
     return t.filter("missing AND present").groupBy("model").agg(F.count("*").alias("twins"))
 
 
-@query("c25_consistent_expectation", f"WITH {P} SELECT id, count(DISTINCT {GOLD}) AS golds FROM p GROUP BY id HAVING count(DISTINCT {GOLD}) > 1")
+@query("c25_consistent_expectation", f"WITH {P} SELECT golds, count(*) AS ids FROM (SELECT id, count(DISTINCT {GOLD}) AS golds FROM p GROUP BY id) GROUP BY golds")
 def c25(spark, d):
-    return preds(spark, d).groupBy("id").agg(F.countDistinct(L.expected_label(F.col("expected"))).alias("golds")).filter("golds > 1")
+    """Ids by the number of different expectations their predictions carry; more than one is a conflict."""
+    g = preds(spark, d).groupBy("id").agg(F.countDistinct(L.expected_label(F.col("expected"))).alias("golds"))
+    return g.groupBy("golds").agg(F.count("*").alias("ids"))
 
 
-@query("c30_replay_missing", f"WITH {P}, {SW} SELECT w.id FROM w WHERE w.split = 'test' AND w.id NOT IN (SELECT id FROM p WHERE id IS NOT NULL)")
+@query("c30_replay_missing", f"WITH {P}, {SW} SELECT w.id FROM w WHERE w.split = 'test' AND w.id NOT IN (SELECT id FROM p WHERE id IS NOT NULL AND model = 'scorer-main')")
 def c30(spark, d):
-    return worded(spark, d).filter("split = 'test'").select("id").join(preds(spark, d).select("id"), "id", "left_anti")
+    return worded(spark, d).filter("split = 'test'").select("id").join(preds(spark, d).filter("model = 'scorer-main'").select("id"), "id", "left_anti")
 
 
 @query("d33_decision_counts", f"WITH {JUDGED} SELECT kind, outcome, count(*) AS n FROM j GROUP BY ALL")
@@ -172,12 +175,6 @@ def h21(spark, d):
     return entries(spark, d).filter("kind IS NOT NULL").select("id", F.sha2(F.to_json(F.struct("id", "kind")), 256).alias("h"))
 
 
-@query("h24_long_tokens", "SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9+/_=-]{32,}'))::INT AS n FROM documents WHERE regexp_matches(text, '[A-Za-z0-9+/_=-]{32,}')")
-def h24(spark, d):
-    t = table(spark, d, "documents").filter(F.col("text").rlike("[A-Za-z0-9+/_=-]{32,}"))
-    return t.select("doc_id", F.size(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_=-]{32,}"), F.lit(0))).alias("n"))
-
-
 @query("h29_bars", f"WITH {JUDGED}, m AS (SELECT model, avg(\"right\"::INT) FILTER (WHERE kind = 'operation') AS rate FROM j GROUP BY model), b AS (SELECT greatest(0.05, (SELECT rate FROM m WHERE model = 'scorer-main')) AS bar) SELECT model, CASE WHEN rate IS NULL THEN 'fail' WHEN rate >= bar THEN 'pass' ELSE 'fail' END AS verdict FROM m, b")
 def h29(spark, d):
     m = judged(spark, d).groupBy("model").agg(F.avg(F.when(F.col("kind") == "operation", F.col("right").cast("double"))).alias("rate"))
@@ -191,15 +188,17 @@ def h33(spark, d):
     return judged(spark, d).select("pos", c.alias("decision"), F.when(F.col("proposed"), F.col("operation")).alias("tool"))
 
 
-@query("i1_stratified_split", f"WITH {S}, g AS (SELECT min(kind) AS kind, coalesce(source_id, id) AS unit FROM s GROUP BY coalesce(source_id, id)), r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY sha256('11:' || unit), unit) AS k, count(*) OVER (PARTITION BY kind) AS n FROM g) SELECT s.id, CASE WHEN r.k <= floor(n * 0.8) THEN 'train' WHEN r.k <= floor(n * 0.9) THEN 'validation' ELSE 'test' END AS side FROM s JOIN r ON r.unit = coalesce(s.source_id, s.id)")
+I1 = ("0.8", "0.1", "0.1")
+
+
+@query("i1_stratified_split", f"WITH {S}, g AS (SELECT min(kind) AS kind, coalesce(source_id, id) AS unit FROM s GROUP BY coalesce(source_id, id)), n AS (SELECT kind, count(*) AS n FROM g GROUP BY kind), r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY sha256('11:' || unit), unit) AS k FROM g) SELECT s.id, CASE WHEN r.k <= a THEN 'train' WHEN r.k <= a + b THEN 'validation' ELSE 'test' END AS side FROM s JOIN r ON r.unit = coalesce(s.source_id, s.id) JOIN {quota_sql('kind', 'n', I1)} q ON q.kind = r.kind")
 def i1(spark, d):
-    """Grouped by source, stratified by the group's kind, in hash order; ranks come from buckets of the hash."""
+    """Grouped by source, stratified by the group's kind, in hash order; ranks come from buckets of the hash, quotas from largest remainders."""
     e = entries(spark, d).select("id", "kind", F.coalesce("source_id", "id").alias("unit"))
     g = e.groupBy("unit").agg(F.min("kind").alias("kind"))
-    n = g.groupBy("kind").agg(F.count("*").alias("n"))
+    n = g.groupBy("kind").agg(F.count("*").alias("n")).withColumn("q", quota(F.col("n"), [F.lit(float(x)) for x in I1]))
     r = rank_by_hash(g.withColumn("h", F.sha2(F.concat(F.lit("11:"), "unit"), 256)), ["kind"], "h", "unit").join(n, "kind")
-    side = F.when(F.col("k") <= F.floor(F.col("n") * 0.8), "train").when(F.col("k") <= F.floor(F.col("n") * 0.9), "validation").otherwise("test")
-    return e.select("id", "unit").join(r.select("unit", side.alias("side")), "unit").select("id", "side")
+    return e.select("id", "unit").join(r.select("unit", sided().alias("side")), "unit").select("id", "side")
 
 
 @query("i3_grouped_folds", f"WITH {S}, g AS (SELECT DISTINCT coalesce(source_id, id) AS id FROM s) SELECT id, {FOLD} AS fold FROM g")

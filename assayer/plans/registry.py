@@ -6,7 +6,7 @@ import importlib
 
 from assayer.plans.base import QUERIES, SQL
 
-MODULES = ("metrics", "text", "typed", "more", "extra")
+MODULES = ("metrics", "text", "typed", "more", "extra", "review", "runs")
 for _name in MODULES:
     importlib.import_module(f"assayer.plans.{_name}")
 

@@ -6,10 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assayer.functions import labels as L
+from assayer.functions import secrets as X
 from assayer.functions import text as T
-from assayer.operators.ranking import rank_by_hash, rank_by_range
+from assayer.operators.ranking import quota, rank_by_hash, rank_by_range
 from assayer.operators.similarity import leakage_pairs
-from assayer.plans.base import CANON, KIND, P, S, entries, preds, query, r6
+from assayer.plans.base import CANON, KIND, P, S, entries, preds, query, quota_sql, r6
 from assayer.runtime import cut_lineage, table
 
 NORM = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\\s]+', ' ', 'g'), '\\s+', ' ', 'g'))"
@@ -80,10 +81,53 @@ def h25b(spark, d):
     return entries(spark, d).select(F.explode(T.redactions_fired(F.col("text"))).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
 
 
-@query("h26_private_hosts", f"SELECT doc_id, len(regexp_extract_all(text, '{T.PRIVATE}'))::INT AS n FROM documents WHERE regexp_matches(text, '{T.PRIVATE}')")
+# Texts with a line of every shape a scan must find or leave alone, derived from the id.
+PLANTED = f"""{S}, pl AS (SELECT id, coalesce(text, '') || chr(10) || CASE left(h, 1) WHEN '0' THEN 'AKIA' || upper(substr(h, 2, 16)) WHEN '1' THEN 'ghp_' || substr(h, 1, 40) WHEN '2' THEN 'xoxb-' || substr(h, 1, 24) WHEN '3' THEN 'sk-' || substr(h, 1, 32)
+ WHEN '4' THEN 'hf_' || substr(h, 1, 34) WHEN '5' THEN '-----BEGIN RSA PRIVATE KEY-----' || h || '-----END RSA PRIVATE KEY-----' WHEN '6' THEN 'api_key = "' || substr(h, 1, 24) || '"' WHEN '7' THEN 'password: changeme-example-password' WHEN '8' THEN 'Authorization: Bearer ' || substr(h, 1, 20)
+ WHEN '9' THEN 'https://user:' || substr(h, 1, 8) || '@host.example/x' WHEN 'a' THEN 'see 10.1.2.3 and 127.0.0.1' WHEN 'b' THEN 'ping nas.local or 100.64.0.9' WHEN 'c' THEN '192.0.2.10 then 192.168.1.77' WHEN 'd' THEN '{{"base_url": "http://gpu7:8000/v1", "token": "' || h || '"}}' WHEN 'e' THEN '{{"endpoint": "http://localhost:1"}} --api-key ' || h ELSE 'nothing' END AS t FROM (SELECT *, sha256(id) AS h FROM s))"""
+
+
+def planted(spark, d):
+    h = F.sha2("id", 256)
+    part = lambda a, n: F.substring(h, a, n)
+    say = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    lines = {
+        "0": say("AKIA", F.upper(part(2, 16))), "1": say("ghp_", part(1, 40)), "2": say("xoxb-", part(1, 24)), "3": say("sk-", part(1, 32)), "4": say("hf_", part(1, 34)),
+        "5": say("-----BEGIN RSA PRIVATE KEY-----", h, "-----END RSA PRIVATE KEY-----"), "6": say('api_key = "', part(1, 24), '"'), "7": F.lit("password: changeme-example-password"), "8": say("Authorization: Bearer ", part(1, 20)),
+        "9": say("https://user:", part(1, 8), "@host.example/x"), "a": F.lit("see 10.1.2.3 and 127.0.0.1"), "b": F.lit("ping nas.local or 100.64.0.9"), "c": F.lit("192.0.2.10 then 192.168.1.77"),
+        "d": say('{"base_url": "http://gpu7:8000/v1", "token": "', h, '"}'), "e": say('{"endpoint": "http://localhost:1"} --api-key ', h),
+    }
+    line = F.lit("nothing")
+    for k, v in lines.items():
+        line = F.when(part(1, 1) == k, v).otherwise(line)
+    return entries(spark, d).select("id", F.concat(F.coalesce("text", F.lit("")), F.lit("\n"), line).alias("t"))
+
+
+Q1 = lambda p: "'" + p.replace("'", "''") + "'"
+ASSIGNED = f"len(list_filter(regexp_extract_all(t, {Q1(X.ASSIGNED)}, 1), lambda v: NOT regexp_matches(v, {Q1(X.NO_VALUE)}))) > 0"
+REDACT_SECRETS = "t"
+for _name, _pattern in X.REDACTED:
+    REDACT_SECRETS = f"regexp_replace({REDACT_SECRETS}, {Q1(_pattern)}, '<{_name}>', 'g')"
+
+
+@query("h24_credentials", f"WITH {PLANTED} SELECT id, unnest(list_filter([{', '.join(f'CASE WHEN regexp_matches(t, {Q1(p)}) THEN {Q1(n)} END' for n, p in X.TOKENS)}, CASE WHEN {ASSIGNED} THEN 'assignment' END], lambda x: x IS NOT NULL)) AS shape FROM pl")
+def h24(spark, d):
+    return planted(spark, d).select("id", F.explode(X.credentials(F.col("t"))).alias("shape"))
+
+
+@query("h25_redact_secrets", f"WITH {PLANTED} SELECT id, {REDACT_SECRETS} AS clean FROM pl")
+def h25c(spark, d):
+    return planted(spark, d).select("id", X.redact_secrets(F.col("t")).alias("clean"))
+
+
+@query("h26_private_hosts", f"WITH {PLANTED} SELECT id, unnest(list_concat(regexp_extract_all(t, {Q1(X.ADDRESS)}), regexp_extract_all(t, {Q1(X.NAME)}))) AS host FROM pl")
 def h26(spark, d):
-    t = table(spark, d, "documents").filter(F.col("text").rlike(T.PRIVATE))
-    return t.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(T.PRIVATE), F.lit(0))).alias("n"))
+    return planted(spark, d).select("id", F.explode(X.private_hosts(F.col("t"))).alias("host"))
+
+
+@query("h26_endpoints", f"WITH {PLANTED} SELECT id, unnest(list_filter(regexp_extract_all(t, {Q1(X.ENDPOINT)}, 1), lambda h: h NOT IN ({', '.join(map(Q1, X.OPEN_HOSTS))}))) AS host FROM pl")
+def h26b(spark, d):
+    return planted(spark, d).select("id", F.explode(X.endpoints(F.col("t"))).alias("host"))
 
 
 @query("h30_header_parts", f"WITH {S} SELECT id, regexp_extract(id, '^([a-z]+)-(\\d+)-(\\d+)$', 1) AS prefix, nullif(regexp_extract(id, '^([a-z]+)-(\\d+)-(\\d+)$', 3), '')::BIGINT AS number FROM s")
@@ -112,11 +156,13 @@ def h37(spark, d):
     return entries(spark, d).select("id", F.sha2("id", 256).alias("digest"))
 
 
-@query("g5_jaccard", f"WITH {SW}, x AS (SELECT a.id AS l, b.id AS r, list_distinct(a.words) AS a, list_distinct(b.words) AS b FROM w a JOIN w b ON a.source_id = b.source_id AND a.id < b.id) SELECT l, r, round(CASE WHEN len(a) + len(b) = 0 THEN 1 ELSE len(list_intersect(a, b))::DOUBLE / greatest(len(list_distinct(a || b)), 1) END, 6) AS similarity FROM x")
+@query("g5_jaccard", f"WITH {SW}, x AS (SELECT id AS l, list_distinct(words) AS a, lead(id) OVER v AS r, list_distinct(lead(words) OVER v) AS b FROM w WHERE source_id IS NOT NULL OR source IS NOT NULL WINDOW v AS (PARTITION BY source, author ORDER BY id)) SELECT l, r, round(CASE WHEN len(a) + len(b) = 0 THEN 1 ELSE len(list_intersect(a, b))::DOUBLE / greatest(len(list_distinct(a || b)), 1) END, 6) AS similarity FROM x WHERE r IS NOT NULL")
 def g5(spark, d):
-    w = worded(spark, d).select("id", "source_id", F.array_distinct("words").alias("w"))
-    a, b = w.select(F.col("id").alias("l"), "source_id", F.col("w").alias("a")), w.select(F.col("id").alias("r"), "source_id", F.col("w").alias("b"))
-    return a.join(b, "source_id").filter("l < r").select("l", "r", r6(T.jaccard(F.col("a"), F.col("b"))).alias("similarity"))
+    """Similarity of each entry to the next one of its source and author, as sets of words."""
+    w = worded(spark, d).filter("source_id IS NOT NULL OR source IS NOT NULL").select("id", "source", "author", F.array_distinct("words").alias("a"))
+    v = Window.partitionBy("source", "author").orderBy("id")
+    x = w.withColumn("r", F.lead("id").over(v)).withColumn("b", F.lead("a").over(v)).filter("r IS NOT NULL")
+    return x.select(F.col("id").alias("l"), "r", r6(T.jaccard(F.col("a"), F.col("b"))).alias("similarity"))
 
 
 LEAK = f"""{SW}, v AS (SELECT *, list_distinct(words) AS ws, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')] ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' '))) END AS sh FROM w),
@@ -150,9 +196,11 @@ def c4(spark, d):
     return f.filter("split = 'train' AND n IS NOT NULL").join(held, "n", "left").select("id", F.coalesce("leaked", F.lit(False)).alias("leaked"))
 
 
-@query("c6_train_only_guard", f"WITH {SW} SELECT id, split FROM w WHERE train_only AND split != 'train'")
+@query("c6_train_only_guard", f"WITH {SW} SELECT coalesce(train_only, false) AS train_only, coalesce(split, 'none') AS split, count(*) AS n, coalesce(train_only, false) AND coalesce(split, 'none') != 'train' AS refused FROM w GROUP BY 1, 2")
 def c6(spark, d):
-    return worded(spark, d).filter("train_only AND split != 'train'").select("id", "split")
+    """Rows by mark and side; marked ones off the train side are refused."""
+    mark, at = F.coalesce("train_only", F.lit(False)), F.coalesce("split", F.lit("none"))
+    return worded(spark, d).groupBy(mark.alias("train_only"), at.alias("split")).agg(F.count("*").alias("n")).withColumn("refused", F.col("train_only") & (F.col("split") != "train"))
 
 
 @query("c17_training_overlap", f"WITH {P}, {SW} SELECT DISTINCT p.id FROM p JOIN w USING (id) WHERE w.split = 'train'")
@@ -173,10 +221,11 @@ def c22(spark, d):
     return entries(spark, d).select("id").join(done, "id", "left_anti")
 
 
-@query("c26_held_apart", f"WITH {SW} SELECT DISTINCT source_id FROM w WHERE split = 'train' AND source_id IN (SELECT source_id FROM w WHERE split IN ('validation', 'test'))")
+@query("c26_held_apart", f"WITH {SW} SELECT DISTINCT source FROM w WHERE split = 'train' AND source IN (SELECT source FROM w WHERE split IN ('validation', 'test'))")
 def c26(spark, d):
-    w = worded(spark, d).filter("source_id IS NOT NULL").select("source_id", "split")
-    return w.filter("split = 'train'").select("source_id").distinct().join(w.filter("split IN ('validation', 'test')"), "source_id", "left_semi")
+    """Sources that stand on both sides."""
+    w = worded(spark, d).filter("source IS NOT NULL").select("source", "split")
+    return w.filter("split = 'train'").select("source").distinct().join(w.filter("split IN ('validation', 'test')").select("source").distinct(), "source", "left_semi")
 
 
 @query("c27_failure_classes", f"WITH {P}, {S} SELECT coalesce(s.entry_class, s.kind) AS class, p.outcome, count(*) AS n FROM p JOIN s USING (id) GROUP BY ALL")
@@ -335,18 +384,23 @@ def e8(spark, d):
     return q.select("id", "seed", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("variation")).select("id", "variation", ((F.col("variation") - 1) * 1000000 + F.col("seed")).cast("bigint").alias("place"))
 
 
+E10 = ("0.7", "0.15", "0.15")
+
+
 @query(
     "e10_quota_assignment",
-    f"""WITH {S}, g AS (SELECT kind, coalesce(source_id, id) AS unit, min(sha256('7:' || coalesce(source_id, id))) AS h FROM s GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY h, unit) AS k, count(*) OVER (PARTITION BY kind) AS n FROM g)
-SELECT kind, unit, CASE WHEN k <= floor(n * 0.7) THEN 'train' WHEN k <= floor(n * 0.7) + floor(n * 0.15) THEN 'validation' ELSE 'test' END AS side FROM r""",
+    f"""WITH {S}, g AS (SELECT kind, coalesce(source_id, id) AS unit, min(sha256('7:' || coalesce(source_id, id))) AS h FROM s GROUP BY ALL), n AS (SELECT kind, count(*) AS n FROM g GROUP BY kind), r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY h, unit) AS k FROM g)
+SELECT kind, unit, CASE WHEN k <= a THEN 'train' WHEN k <= a + b THEN 'validation' ELSE 'test' END AS side FROM r JOIN {quota_sql("kind", "n", E10)} q USING (kind)""",
 )
 def e10(spark, d):
-    """Stratified split in hash order: units of a kind by rank, cut at the quotas; the last side takes the remainder."""
+    """Stratified split in hash order: units of a kind by rank, cut at quotas by largest remainder."""
     e = entries(spark, d).select("kind", F.coalesce("source_id", "id").alias("unit")).distinct().withColumn("h", F.sha2(F.concat(F.lit("7:"), "unit"), 256))
-    n = e.groupBy("kind").agg(F.count("*").alias("n"))
-    r = rank_by_hash(e, ["kind"], "h", "unit").join(n, "kind")
-    a, b = F.floor(F.col("n") * 0.7), F.floor(F.col("n") * 0.15)
-    return r.select("kind", "unit", F.when(F.col("k") <= a, "train").when(F.col("k") <= a + b, "validation").otherwise("test").alias("side"))
+    n = e.groupBy("kind").agg(F.count("*").alias("n")).withColumn("q", quota(F.col("n"), [F.lit(float(x)) for x in E10]))
+    return rank_by_hash(e, ["kind"], "h", "unit").join(n, "kind").select("kind", "unit", sided().alias("side"))
+
+
+def sided():
+    return F.when(F.col("k") <= F.col("q.a"), "train").when(F.col("k") <= F.col("q.a") + F.col("q.b"), "validation").otherwise("test")
 
 
 @query("e13_id_numbering", f"WITH {S} SELECT id, kind || '-' || lpad(row_number() OVER (PARTITION BY kind ORDER BY id)::VARCHAR, 6, '0') AS new_id FROM s")

@@ -55,9 +55,20 @@ def a11(spark, d):
     return table(spark, d, "rater_votes").groupBy("item_id", "question_id", "rater_id").agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-@query("b13_admission", f"WITH {T} SELECT source, count(*) AS n, count(*) FILTER (WHERE lower(trim(split)) = 'train') AS admitted FROM bn GROUP BY source")
+LICENCES = ("apache-2.0", " MIT ", "cc-by-4.0", "cc-by-nc-4.0", "mit or gpl")  # a registry's answers, by source
+
+
+@query("b13_admission", f"WITH {T}, l AS (SELECT source, id, lower(trim({list(LICENCES)}[('0x' || left(md5(source), 2))::INT % 5 + 1])) AS licence, CASE WHEN ends_with(id, '0') THEN ' ' ELSE json_extract_string(CASE WHEN json_valid(meta) THEN meta::JSON END, '$.domain') END AS attribution FROM bn) SELECT source, licence, count(*) AS n, count(*) FILTER (WHERE licence IN ('apache-2.0', 'mit') OR (licence = 'cc-by-4.0' AND trim(coalesce(attribution, '')) != '')) AS admitted FROM l GROUP BY source, licence")
 def b13(spark, d):
-    return bench(spark, d).groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.lower(F.trim("split")) == "train").alias("admitted"))
+    """Rows whose licence is one of three, exactly, so a compound one is refused; the attributed one also needs an attribution that isn't blank."""
+    of = F.element_at(F.array(*[F.lit(x) for x in LICENCES]), (F.conv(F.substring(F.md5("source"), 1, 2), 16, 10).cast("int") % 5) + 1)
+    meta = F.when(F.try_parse_json("meta").isNotNull(), F.col("meta"))
+    rows = bench(spark, d).select("source", F.lower(F.trim(of)).alias("licence"), F.when(F.col("id").endswith("0"), F.lit(" ")).otherwise(F.get_json_object(meta, "$.domain")).alias("attribution"))
+    return rows.groupBy("source", "licence").agg(F.count("*").alias("n"), F.count_if(admitted(F.col("licence"), F.col("attribution"))).alias("admitted"))
+
+
+def admitted(licence, attribution):
+    return F.coalesce(licence.isin("apache-2.0", "mit") | ((licence == "cc-by-4.0") & (F.trim(F.coalesce(attribution, F.lit(""))) != "")), F.lit(False))
 
 
 @query("b14_option_count", f"WITH {TQ} SELECT id, max(len(options))::INT AS widest, count(*) AS questions FROM tq GROUP BY id")
@@ -231,10 +242,13 @@ def d31(spark, d):
     return typed(spark, d).join(n, "id", "left").groupBy(state.alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("c21_orphan_votes", f"WITH {T} SELECT DISTINCT item_id FROM rater_votes WHERE item_id NOT IN (SELECT id FROM t UNION ALL SELECT id FROM bn)")
+@query("c21_orphan_votes", f"WITH {TQ} SELECT v.item_id, v.question_id, count(*) AS votes FROM rater_votes v LEFT JOIN (SELECT id, qid FROM tq WHERE len(options) > 2 UNION ALL SELECT id, 'question' FROM bn) k ON k.id = v.item_id AND k.qid = v.question_id WHERE k.id IS NULL GROUP BY ALL")
 def c21(spark, d):
-    known = typed(spark, d).select(F.col("id").alias("item_id")).union(bench(spark, d).select("id"))
-    return table(spark, d, "rater_votes").select("item_id").distinct().join(known, "item_id", "left_anti")
+    """Votes that no question of more than two options, nor a bench row, asked for."""
+    asked = R.typed_questions(typed(spark, d)).filter(F.size("options") > 2).select(F.col("id").alias("item_id"), F.col("qid").alias("question_id"))
+    known = asked.union(bench(spark, d).select("id", F.lit("question")))
+    votes = table(spark, d, "rater_votes").groupBy("item_id", "question_id").agg(F.count("*").alias("votes"))
+    return votes.join(known, ["item_id", "question_id"], "left_anti")
 
 
 @query("k7_rates", "SELECT rater_id, count(*) AS n, round(count(*)::DOUBLE / greatest((epoch_us(max(arrived_at)) - epoch_us(min(arrived_at))) / 86400e6, 1e-9), 6) AS per_day FROM rater_votes GROUP BY rater_id HAVING count(*) > 1 AND max(arrived_at) > min(arrived_at)")
