@@ -36,6 +36,22 @@ def judged(spark: SparkSession, d: str) -> DataFrame:
     return D.judged(preds(spark, d), table(spark, d, "operations"))
 
 
+def slim(spark: SparkSession, d: str, *columns, where=None) -> DataFrame:
+    """``columns`` of judged predictions, once per pos.
+
+    A redelivered row repeats its content, so filters and row predicates commute with the removal of copies: they run on the scan, and only the
+    few columns that come out are shuffled, by a hash aggregate that sorts nothing.
+    """
+    j = D.judged(table(spark, d, "predictions"), table(spark, d, "operations"))
+    return (j if where is None else j.filter(where)).select("pos", *columns).distinct()
+
+
+def slim_preds(spark: SparkSession, d: str, *columns, where=None) -> DataFrame:
+    """The same of predictions as they are."""
+    p = table(spark, d, "predictions")
+    return (p if where is None else p.filter(where)).select("pos", *columns).distinct()
+
+
 def entries(spark: SparkSession, d: str) -> DataFrame:
     """seed_entries, one row per id."""
     return first_arrival(table(spark, d, "seed_entries"), "id", "arrived_at")

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from assayer.functions import labels as L
 from assayer.functions import text as T
+from assayer.operators.quantile import discrete, interpolated, values_at
 from assayer.operators.ranking import quota, rank_by_hash
-from assayer.plans.base import CAND, JUDGED, P, S, entries, judged, preds, query, quota_sql, r6
+from assayer.plans.base import CAND, JUDGED, P, S, entries, judged, preds, query, quota_sql, r6, slim
+from assayer.plans.metrics import GOOD
 from assayer.plans.text import SIDE, SW, sided, worded
 from assayer.plans.typed import AL, GT, T as TBL, TQ, VT, aligned, bench, gold_and_teacher, typed
 from assayer.runtime import table
@@ -140,8 +142,11 @@ def d38(spark, d):
     f"""WITH {JUDGED}, {CAND} SELECT j.model, count(*) AS "rows", count(*) FILTER (WHERE outcome = 'invalid') AS failures, round(quantile_cont(latency_ms, 0.5) FILTER (WHERE latency_ms >= 0 AND NOT isnan(latency_ms)), 6) AS median_ms, round(avg((coalesce(top.top = gold, false))::INT), 6) AS top1 FROM j LEFT JOIN top USING (pos) GROUP BY j.model""",
 )
 def d39(spark, d):
-    ms = F.when((F.col("latency_ms") >= 0) & ~F.isnan("latency_ms"), F.col("latency_ms"))
-    return judged(spark, d).groupBy("model").agg(F.count("*").alias("rows"), F.count_if(F.col("outcome") == "invalid").alias("failures"), r6(F.percentile(ms, F.lit(0.5))).alias("median_ms"), r6(F.avg(F.coalesce(F.col("top.key") == F.col("gold"), F.lit(False)).cast("double"))).alias("top1"))
+    j = slim(spark, d, "model", "outcome", "latency_ms", F.coalesce(F.col("top.key") == F.col("gold"), F.lit(False)).alias("ok"))
+    low, high, share = interpolated(0.5)
+    ms = values_at(j.filter(GOOD), ["model"], "latency_ms", {"low": low, "high": high}).select("model", r6(F.col("low") + (F.col("high") - F.col("low")) * share).alias("median_ms"))
+    a = j.groupBy("model").agg(F.count("*").alias("rows"), F.count_if(F.col("outcome") == "invalid").alias("failures"), r6(F.avg(F.col("ok").cast("double"))).alias("top1"))
+    return a.join(ms, "model", "left").select("model", "rows", "failures", "median_ms", "top1")
 
 
 @query("d40_training_evaluation", f"WITH {JUDGED}, {CAND} SELECT j.model, count(*) AS n, round(avg(-ln(greatest(coalesce(r.v, 0), 1e-12))), 6) AS ce, round(avg((top.top = gold)::INT), 6) AS accuracy, round(avg(top_p), 6) AS mean_top FROM j JOIN top USING (pos) LEFT JOIN roll r ON r.pos = j.pos AND r.label = j.gold WHERE j.gold IS NOT NULL GROUP BY j.model")
@@ -263,9 +268,10 @@ FORMATS = f"""{JUDGED}, f AS (SELECT m.weight_bits, count(*) FILTER (WHERE wrong
 
 
 def formats(spark, d):
-    j = judged(spark, d).join(table(spark, d, "models").select("model", "weight_bits"), "model")
-    ms = "CASE WHEN latency_ms >= 0 AND NOT isnan(latency_ms) THEN latency_ms END"
-    return j.groupBy("weight_bits").agg((F.count_if(F.col("wrong_operation") | F.col("wrong_arguments")) / F.count("*")).alias("wrong"), F.avg(F.when(F.col("kind") == "operation", F.col("right").cast("double"))).alias("rate"), F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {ms})").alias("ms"))
+    j = slim(spark, d, "model", "kind", "right", "wrong_operation", "wrong_arguments", "latency_ms").join(table(spark, d, "models").select("model", "weight_bits"), "model")
+    ms = values_at(j.filter(GOOD), ["weight_bits"], "latency_ms", {"ms": discrete(0.5)}).select("weight_bits", "ms")
+    a = j.groupBy("weight_bits").agg((F.count_if(F.col("wrong_operation") | F.col("wrong_arguments")) / F.count("*")).alias("wrong"), F.avg(F.when(F.col("kind") == "operation", F.col("right").cast("double"))).alias("rate"))
+    return a.join(ms, "weight_bits", "left")
 
 
 @query("j11_choose_format", f"WITH {FORMATS}, b AS (SELECT rate FROM f WHERE weight_bits = 16), d AS (SELECT f.*, 100 * (b.rate - f.rate) AS drop_points FROM f, b WHERE wrong <= 0.5) SELECT weight_bits, drop_points > 3 AS heal FROM d ORDER BY drop_points > 3, CASE WHEN drop_points > 3 THEN drop_points ELSE 0 END, weight_bits, ms LIMIT 1")

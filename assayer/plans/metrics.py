@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from assayer.functions import labels as L
 from assayer.operators import decisions as D
+from assayer.operators.quantile import discrete, interpolated, values_at
 from assayer.operators.ranking import running
-from assayer.plans.base import CAND, CANON, GOLD, JUDGED, KIND, P, S, entries, judged, preds, query, r6
+from assayer.plans.base import CAND, CANON, GOLD, JUDGED, KIND, P, S, entries, judged, preds, query, r6, slim, slim_preds
 from assayer.runtime import table
 
 # ------------------------------------------------------------------------------------------------ row predicates
@@ -95,6 +96,12 @@ SLICE = "CASE WHEN gold IN ('escalate', 'explain') THEN 'escalate_or_explain' WH
 SLICED = f"{JUDGED}, sl AS (SELECT j.*, {SLICE} AS slice FROM j LEFT JOIN operations g ON g.name = j.gold)"
 
 
+def raw_sliced(spark, d):
+    """With copies of redelivered rows, for queries that remove them once their few columns are made."""
+    ops = table(spark, d, "operations")
+    return D.with_slice(D.judged(table(spark, d, "predictions"), ops), ops)
+
+
 def sliced(spark, d):
     return D.with_slice(judged(spark, d), table(spark, d, "operations"))
 
@@ -147,10 +154,11 @@ SELECT *, {RATE("right_proposals", "n_operation")} AS right_rate, {RATE("tp", "t
 )
 def d1(spark, d):
     n = lambda c: F.count_if(F.expr(c))
-    a = judged(spark, d).groupBy("model").agg(
+    small = ("model", "kind", "outcome", "right", "escalated", "proposed", "wrong_operation", "wrong_arguments", F.col("reason").isNotNull().alias("bad"))
+    a = slim(spark, d, *small).groupBy("model").agg(
         F.count("*").alias("n"), n("kind = 'operation'").alias("n_operation"), n("kind = 'operation' AND right").alias("right_proposals"), n("kind = 'escalate' AND escalated").alias("tp"), n("kind = 'escalate' AND NOT escalated").alias("fn"),
         n("kind = 'operation' AND escalated").alias("fp"), n("kind = 'explain' AND escalated").alias("on_explain"), n("kind != 'operation' AND proposed").alias("false_calls"), n("kind != 'operation'").alias("declines"),
-        n("wrong_operation").alias("wrong_operation"), n("wrong_arguments").alias("wrong_arguments"), n("reason IS NOT NULL").alias("invalid"), n("outcome = 'abstain_uncertain'").alias("abstained"),
+        n("wrong_operation").alias("wrong_operation"), n("wrong_arguments").alias("wrong_arguments"), n("bad").alias("invalid"), n("outcome = 'abstain_uncertain'").alias("abstained"),
     )
     rate = lambda x, y: F.round(F.try_divide(F.expr(x), F.expr(y)), 6)
     return a.select(
@@ -160,8 +168,9 @@ def d1(spark, d):
 
 
 def calibrated(spark, d):
-    c = sliced(spark, d).filter("candidates IS NOT NULL")
-    return c.select("pos", "model", "slice", "gold", "rolled", F.col("top.value").alias("top_p"), (F.col("top.key") == F.col("gold")).alias("correct"), L.brier(F.col("rolled"), F.col("gold")).alias("brier"))
+    """Once per pos: only numbers and names are shuffled, not the distributions they come from."""
+    c = raw_sliced(spark, d).filter("candidates IS NOT NULL")
+    return c.select("pos", "model", "slice", F.col("top.value").alias("top_p"), (F.col("top.key") == F.col("gold")).alias("correct"), L.brier(F.col("rolled"), F.col("gold")).alias("brier")).distinct()
 
 
 CAL = f"""{SLICED}, {CAND}, cal AS (SELECT sl.pos, sl.model, sl.slice, sl.gold, top.top_p, top.top = sl.gold AS correct,
@@ -240,15 +249,14 @@ GOOD = "latency_ms >= 0 AND NOT isnan(latency_ms)"
 SELECT model, max(latency_ms) FILTER (WHERE n = 1) AS cold_ms, round(quantile_cont(latency_ms, 0.5) FILTER (WHERE n > 1), 6) AS warm_median_ms, quantile_disc(latency_ms, 0.95) FILTER (WHERE n > 1) AS warm_p95_ms FROM o GROUP BY model""",
 )
 def d10(spark, d):
-    """The first row of a model is cold; found by its least pos, so no model is sorted in one task."""
-    p = preds(spark, d).filter(GOOD).select("model", "pos", "latency_ms")
-    first = p.groupBy("model").agg(F.min("pos").alias("first"))
-    o = p.join(first, "model").withColumn("w", F.when(F.col("pos") > F.col("first"), F.col("latency_ms")))
-    return o.groupBy("model").agg(
-        F.max(F.when(F.col("pos") == F.col("first"), F.col("latency_ms"))).alias("cold_ms"),
-        r6(F.percentile("w", F.lit(0.5))).alias("warm_median_ms"),
-        F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY w)").alias("warm_p95_ms"),
-    )
+    """The first row of a model is cold; found by its least pos, so no model is sorted in one task. Quantiles come from ranks of buckets."""
+    p = slim_preds(spark, d, "model", "latency_ms", where=GOOD)
+    first = p.groupBy("model").agg(F.min_by("latency_ms", "pos").alias("cold_ms"), F.min("pos").alias("first"))
+    warm = p.join(first.select("model", "first"), "model").filter("pos > first")
+    low, high, share = interpolated(0.5)
+    w = values_at(warm, ["model"], "latency_ms", {"low": low, "high": high, "warm_p95_ms": discrete(0.95)})
+    median = F.col("low") + (F.col("high") - F.col("low")) * share
+    return first.select("model", "cold_ms").join(w.select("model", r6(median).alias("warm_median_ms"), "warm_p95_ms"), "model", "left")
 
 
 @query(
@@ -260,7 +268,7 @@ FROM (SELECT j.model, coalesce(r.n, 99) AS place FROM j LEFT JOIN r ON r.pos = j
 def d11(spark, d):
     order = F.array_sort("rolled", lambda a, b: F.when(a["value"] > b["value"], -1).when(a["value"] < b["value"], 1).when(a["key"] < b["key"], -1).otherwise(1))
     place = F.array_position(F.transform(order, lambda e: e["key"]), F.col("gold"))
-    j = judged(spark, d).filter("kind = 'operation' AND candidates IS NOT NULL").select("model", F.when(place > 0, place).otherwise(99).alias("place"))
+    j = slim(spark, d, "model", F.when(place > 0, place).otherwise(99).alias("place"), where="kind = 'operation' AND candidates IS NOT NULL")
     return j.groupBy("model").agg(F.count("*").alias("n"), *[r6(F.avg((F.col("place") <= k).cast("double"))).alias(f"top{k}") for k in (1, 3, 5)])
 
 
@@ -269,7 +277,8 @@ def d11(spark, d):
     f"WITH {JUDGED}, {CAND} SELECT model, round(avg(-ln(greatest(coalesce(r.v, 0), 1e-12))), 6) AS log_loss FROM j LEFT JOIN roll r ON r.pos = j.pos AND r.label = j.gold WHERE j.candidates IS NOT NULL GROUP BY model",
 )
 def d12(spark, d):
-    return judged(spark, d).filter("candidates IS NOT NULL").groupBy("model").agg(r6(F.avg(L.log_loss(L.mass_of(F.col("rolled"), F.col("gold"))))).alias("log_loss"))
+    loss = L.log_loss(L.mass_of(F.col("rolled"), F.col("gold")))
+    return slim(spark, d, "model", loss.alias("loss"), where="candidates IS NOT NULL").groupBy("model").agg(r6(F.avg("loss")).alias("log_loss"))
 
 
 @query("d13_missing_candidate_summary", f"WITH {JUDGED} SELECT model, count(*) FILTER (WHERE missing) AS missing, round(avg(missing::INT), 6) AS share, count(*) FILTER (WHERE missing AND escalated) AS escalated, round(avg(escalated::INT) FILTER (WHERE missing), 6) AS rate FROM j GROUP BY model")
@@ -286,7 +295,7 @@ k AS (SELECT model, gold AS label, count(*) AS g, 0 AS q, count(*) FILTER (WHERE
 f AS (SELECT model, label, CASE WHEN sum(g) + sum(q) = 0 THEN 0 ELSE 2.0 * sum(ok) / (sum(g) + sum(q)) END AS f1 FROM k GROUP BY ALL) SELECT model, count(*) AS classes, round(avg(f1), 6) AS macro_f1 FROM f GROUP BY model""",
 )
 def d15(spark, d):
-    j = judged(spark, d).filter("candidates IS NOT NULL").select("model", "gold", F.col("top.key").alias("pred"))
+    j = slim(spark, d, "model", "gold", F.col("top.key").alias("pred"), where="candidates IS NOT NULL")
     g = j.groupBy("model", F.col("gold").alias("label")).agg(F.count("*").alias("g"), F.count_if(F.expr("gold = pred")).alias("ok"))
     q = j.groupBy("model", F.col("pred").alias("label")).agg(F.count("*").alias("q"))
     f = g.join(q, ["model", "label"], "full_outer").na.fill(0, ["g", "q", "ok"]).withColumn("f1", F.coalesce(F.try_divide(2 * F.col("ok"), F.col("g") + F.col("q")), F.lit(0.0)))
@@ -329,7 +338,7 @@ SELECT model, k::BIGINT AS correct, n::BIGINT AS n, CASE WHEN n = 0 THEN 0 ELSE
  CASE WHEN n = 0 THEN 1 ELSE round(least(1, (p + z*z/(2*m) + z * sqrt(p*(1-p)/m + z*z/(4*m*m))) / (1 + z*z/m)), 6) END::DOUBLE AS high FROM w""",
 )
 def d26(spark, d):
-    a = judged(spark, d).groupBy("model").agg(F.count_if(F.expr("kind = 'operation' AND right")).alias("correct"), F.count_if(F.expr("kind = 'operation'")).alias("n"))
+    a = slim(spark, d, "model", "kind", "right").groupBy("model").agg(F.count_if(F.expr("kind = 'operation' AND right")).alias("correct"), F.count_if(F.expr("kind = 'operation'")).alias("n"))
     low, high = L.wilson(F.col("correct"), F.col("n"))
     return a.select("model", "correct", "n", r6(low).alias("low"), r6(high).alias("high"))
 
@@ -339,8 +348,10 @@ def d26(spark, d):
     f"WITH {P} SELECT m.host_class, count(*) AS n, round(quantile_cont(p.latency_ms, 0.5), 6) AS median_ms, quantile_disc(p.latency_ms, 0.95) AS p95_ms, max(p.latency_ms) AS max_ms FROM p JOIN models m USING (model) WHERE {GOOD} GROUP BY m.host_class",
 )
 def d27(spark, d):
-    p = preds(spark, d).filter(GOOD).join(table(spark, d, "models"), "model")
-    return p.groupBy("host_class").agg(F.count("*").alias("n"), r6(F.percentile("latency_ms", F.lit(0.5))).alias("median_ms"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY latency_ms)").alias("p95_ms"), F.max("latency_ms").alias("max_ms"))
+    p = slim_preds(spark, d, "model", "latency_ms", where=GOOD).join(table(spark, d, "models"), "model")
+    low, high, share = interpolated(0.5)
+    w = values_at(p, ["host_class"], "latency_ms", {"low": low, "high": high, "p95_ms": discrete(0.95), "max_ms": F.col("n")})
+    return w.select("host_class", "n", r6(F.col("low") + (F.col("high") - F.col("low")) * share).alias("median_ms"), "p95_ms", "max_ms")
 
 
 @query(
@@ -356,7 +367,7 @@ def d28(spark, d):
 @query("d29_spend", f"WITH {P} SELECT m.backbone, m.weight_bits, round(sum(greatest(p.tokens, 0) * m.weight_bits) / 1e6, 6) AS cost, sum(greatest(p.tokens, 0))::BIGINT AS tokens FROM p JOIN models m USING (model) WHERE p.tokens IS NOT NULL GROUP BY ALL")
 def d29(spark, d):
     """Cost by price class: tokens times the model's own rate, a million tokens a unit."""
-    p = preds(spark, d).filter("tokens IS NOT NULL").join(table(spark, d, "models"), "model").withColumn("t", F.greatest("tokens", F.lit(0)))
+    p = slim_preds(spark, d, "model", "tokens", where="tokens IS NOT NULL").join(table(spark, d, "models"), "model").withColumn("t", F.greatest("tokens", F.lit(0)))
     return p.groupBy("backbone", "weight_bits").agg(r6(F.sum(F.col("t") * F.col("weight_bits")) / 1e6).alias("cost"), F.sum("t").alias("tokens"))
 
 
@@ -387,12 +398,13 @@ FROM sl JOIN top USING (pos) LEFT JOIN e USING (pos) LEFT JOIN s2 USING (pos) LE
 def d37(spark, d):
     n = F.size(F.array_distinct(F.transform("offer", L.canonical)))
     return (
-        sliced(spark, d)
+        raw_sliced(spark, d)
         .filter("candidates IS NOT NULL")
         .select(
             "pos", "slice", F.lit(True).alias("measurable"), (F.col("top.key") == F.col("gold")).alias("top1"), r6(F.col("top.value") - L.second_place(F.col("rolled"), F.col("top.key"))).alias("margin"),
             r6(L.log_loss(L.mass_of(F.col("rolled"), F.col("gold")))).alias("log_loss"), r6(L.entropy(F.col("rolled"), n)).alias("entropy"),
         )
+        .distinct()
     )
 
 
@@ -459,8 +471,13 @@ def redecide_sql(new):
     return f"CASE WHEN {new} IS NULL THEN outcome WHEN {new} != 'propose' THEN {new} WHEN {same} AND reason IS NULL THEN 'propose' ELSE 'invalid' END"
 
 
+FEATURES = ("outcome", "operation", "kind", "reason", "right", "wrong_operation", "wrong_arguments", "missing", "g_label", "g_top", "g_margin", "g_entropy", "g_escalate", "g_read_only")
+
+
 def features(spark, d):
-    return D.gate_features(judged(spark, d), table(spark, d, "operations"))
+    """What a gate decides on, once per pos."""
+    ops = table(spark, d, "operations")
+    return D.gate_features(D.judged(table(spark, d, "predictions"), ops), ops).select("pos", *FEATURES).distinct()
 
 
 def literal(gate):
@@ -495,10 +512,16 @@ def i13(spark, d):
     return threshold_grid(spark, ESC, FLOORS, MARGINS, ENTROPIES)
 
 
+MOST_POINTS = 10_000
+
+
 def sweep(f, grid):
     """All grid points over all rows in one job: rows meet the broadcast grid (bounded by the caller's grid) and are added up map-side."""
     t = {"t_escalate": F.col("escalate")} | {f"t_{k}_{x}": F.col(c) for k in ("read_only", "mutating") for x, c in (("floor", "floor"), ("margin", "margin"), ("max_entropy", "max_entropy"))}
-    rows = f.select("outcome", "operation", "kind", "reason", "right", "wrong_operation", "wrong_arguments", "missing", "g_label", "g_top", "g_margin", "g_entropy", "g_escalate", "g_read_only").crossJoin(F.broadcast(grid))
+    points = grid.limit(MOST_POINTS + 1).count()
+    if points > MOST_POINTS:
+        raise ValueError(f"a sweep takes at most {MOST_POINTS} points; split the grid")
+    rows = f.select(*FEATURES).crossJoin(F.broadcast(grid))
     r = D.redecided(rows, t)
     esc = F.col("n_outcome").isin("escalate", "abstain_uncertain")
     kept = F.col("n_outcome") == "propose"

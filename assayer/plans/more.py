@@ -121,7 +121,7 @@ def c25(spark, d):
 
 @query("c30_replay_missing", f"WITH {P}, {SW} SELECT w.id FROM w WHERE w.split = 'test' AND w.id NOT IN (SELECT id FROM p WHERE id IS NOT NULL AND model = 'scorer-main')")
 def c30(spark, d):
-    return worded(spark, d).filter("split = 'test'").select("id").join(preds(spark, d).filter("model = 'scorer-main'").select("id"), "id", "left_anti")
+    return worded(spark, d).filter("split = 'test'").select("id").join(table(spark, d, "predictions").filter("model = 'scorer-main'").select("id"), "id", "left_anti")
 
 
 @query("d33_decision_counts", f"WITH {JUDGED} SELECT kind, outcome, count(*) AS n FROM j GROUP BY ALL")

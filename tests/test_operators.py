@@ -190,3 +190,38 @@ def test_guard_verdict_report_and_seam(spark):
     assert "| y | train |" in rules.markdown(df, "Sides", ["id"])
     assert rules.scored(df, lambda: lambda b: b.assign(n=b["id"].str.len())[["id", "n"]], "id string, n long").agg(F.sum("n")).first()[0] == 2
     assert [r["id"] for r in rules.resumed(df, df.filter("id = 'x'"), "id").collect()] == ["y"]
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_ranks_are_exact(spark, same):
+    from assayer.operators.quantile import discrete, interpolated, values_at
+
+    rng = np.random.default_rng(4)
+    v = {"a": np.full(500, 7.25) if same else np.exp(rng.normal(0, 8, 700)), "b": np.concatenate([np.zeros(40), rng.random(3) * 1e-310, [1e308, 3.0, 3.0]]), None: np.array([2.0])}
+    df = spark.createDataFrame([(k, float(x)) for k, xs in v.items() for x in xs] + [("a", None)], "g string, v double")
+    low, high, share = interpolated(0.5)
+    got = {r["g"]: r for r in values_at(df, ["g"], "v", {"low": low, "high": high, "p95": discrete(0.95), "top": F.col("n")}).collect()}
+    assert set(got) == set(v)
+    for k, xs in v.items():
+        s, n = np.sort(xs), len(xs)
+        r = got[k]
+        assert (r["n"], r["low"], r["high"], r["p95"], r["top"]) == (n, s[(n - 1) // 2], s[n // 2], s[max(1, int(np.ceil(round(0.95 * n, 9)))) - 1], s[-1])
+    assert values_at(df.limit(0), ["g"], "v", {"top": F.col("n")}).count() == 0
+
+
+def test_stream_takes_several_files(spark, tmp_path):
+    from assayer.streaming import shadow
+
+    at = lambda h: F.to_timestamp(F.lit(f"2024-01-01 {h}"))
+    one = lambda h, v: spark.range(1).select(at(h).alias("ts"), F.lit("click").alias("event_type"), F.lit(float(v)).alias("value"))
+    one("00:10:00", 1).union(one("00:20:00", 2)).coalesce(1).write.parquet(str(tmp_path / "x"))
+    one("00:50:00", 5).union(one("02:30:00", 9)).coalesce(1).write.parquet(str(tmp_path / "y"))
+    import glob
+    import os
+    import shutil
+
+    for name, frm in (("events.parquet", "x"), ("events2.parquet", "y")):
+        shutil.copy(glob.glob(str(tmp_path / frm / "*.parquet"))[0], tmp_path / name)
+        os.utime(tmp_path / name, (1, 1) if frm == "x" else (9, 9))
+    got = sorted((r["start"].hour, r["n"], r["total"], r["peak"]) for r in shadow.run_stream(spark, str(tmp_path)).collect())
+    assert got == [(0, 3, 8.0, 5.0), (2, 1, 9.0, 9.0)]
