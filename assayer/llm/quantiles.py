@@ -134,9 +134,8 @@ def rank_bound(sketch: np.ndarray) -> np.ndarray:
     var = np.zeros(len(sketch))
     for level in range(HASHED):
         rows = sketch[:, level * ROWS * WIDTH : (level + 1) * ROWS * WIDTH].reshape(len(sketch), ROWS, WIDTH).astype(np.float64)
-        rest = np.partition(rows[:, 0] ** 2, WIDTH - HEAVIEST, axis=1)[:, : WIDTH - HEAVIEST].sum(1)
-        top = (rows[:, 0] ** 2).sum(1) - rest
-        var += np.maximum(np.median(np.einsum("grw,grw->gr", rows, rows), axis=1) - top, 0) / (2 * WIDTH)
+        rest = np.partition(rows**2, WIDTH - HEAVIEST, axis=2)[:, :, : WIDTH - HEAVIEST].sum(2)
+        var += np.median(rest, axis=1) / (2 * WIDTH)
     return np.minimum(3 * np.sqrt(var) / n, 1.0)
 
 
