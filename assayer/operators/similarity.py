@@ -2,6 +2,9 @@
 
 Two sets of Jaccard similarity >= t share a token among their n - ceil(t n) + 1 rarest. Equal sets collapse to classes first, so
 copies cost nothing; rare-first prefixes keep frequent tokens out of the join; every candidate is counted out on the sets.
+
+Rare-first needs the frequencies of frequent tokens only: the HEAVY most frequent are broadcast, a list of bounded size, and all others stand before them
+in the order of their text. A token with more than BLOCK cells is split: its left cells over salts, its right cells to each salt.
 """
 
 from __future__ import annotations
@@ -9,8 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayer.runtime import cut_lineage
+
+HEAVY = 1 << 16
+BLOCK = 8192
+
 
-def prefix_pairs(left: DataFrame, right: DataFrame, key: str, tokens: str, p: int = 4, q: int = 5) -> DataFrame:
+def prefix_pairs(left: DataFrame, right: DataFrame, key: str, tokens: str, p: int = 4, q: int = 5, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
     """(left key, right key) of rows whose token sets have similarity p / q or more, as l_key and r_key; empty sets match nothing.
 
     Cells carry the set's size and the token's place. Sets of n and m tokens must share o = ceil(p (n + m) / (p + q)); the first shared
@@ -22,18 +30,21 @@ def prefix_pairs(left: DataFrame, right: DataFrame, key: str, tokens: str, p: in
         return named.withColumn("sid", F.md5(F.concat_ws("\x1f", "set")))
 
     own = {"l": classes(left), "r": classes(right)}
-    sets = {k: d.groupBy("sid").agg(F.first("set").alias("set")) for k, d in own.items()}  # a function of sid
-    every = sets["l"].unionByName(sets["r"]).groupBy("sid").agg(F.first("set").alias("set"))
-    cell = every.select("sid", F.size("set").alias("n"), F.explode("set").alias("token"))
-    freq = cell.groupBy("token").agg(F.count("*").alias("df"))
-    ranked = cell.join(freq, "token").groupBy("sid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order"))
+    sided = own["l"].select("sid", "set", F.lit(1).alias("side")).unionByName(own["r"].select("sid", "set", F.lit(2).alias("side")))
+    sets = cut_lineage(sided.groupBy("sid").agg(F.first("set").alias("set"), F.bit_or("side").alias("side")))  # the set is a function of sid
+    cell = sets.select("sid", F.size("set").alias("n"), "side", F.explode("set").alias("token"))
+    common = F.broadcast(cell.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").orderBy(F.desc("df"), "token").limit(heavy))
+    known = cell.join(common, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    ranked = known.groupBy("sid", "n", "side").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order"))  # a set's own tokens
     keep = (F.col("n") - F.ceil(F.col("n") * p / q - F.lit(1e-9)) + 1).cast("int")
-    cells = ranked.select("sid", "n", F.posexplode(F.slice("order", F.lit(1), keep)).alias("at", "x")).select("sid", "n", "at", F.col("x.token").alias("token"))
-    side = {k: cells.join(sets[k].select("sid"), "sid", "left_semi").select("token", *[F.col(c).alias(f"{k}_{c}") for c in ("sid", "n", "at")]) for k in "lr"}
+    cells = cut_lineage(ranked.select("sid", "n", "side", F.posexplode(F.slice("order", F.lit(1), keep)).alias("at", "x")).select("sid", "n", "side", "at", "x.token", "x.df"))
+    salts = F.greatest(F.ceil(F.col("df") / block), F.lit(1)).cast("int")
+    side = lambda k, bit, salt: cells.filter(F.col("side").bitwiseAND(bit) > 0).select("token", salt.alias("salt"), *[F.col(c).alias(f"{k}_{c}") for c in ("sid", "n", "at")])
     fits = (p + q) * F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at")) >= p * (F.col("l_n") + F.col("r_n"))
-    maybe = side["l"].join(side["r"], "token").filter(fits).select("l_sid", "r_sid").distinct()
+    pairs = side("l", 1, F.pmod(F.xxhash64("sid"), salts).cast("int")).join(side("r", 2, F.explode(F.sequence(F.lit(0), salts - 1))), ["token", "salt"])
+    maybe = pairs.filter(fits).select("l_sid", "r_sid").distinct()
     for k in "lr":
-        maybe = maybe.join(sets[k].select(F.col("sid").alias(f"{k}_sid"), F.col("set").alias(f"{k}_set")), f"{k}_sid")
+        maybe = maybe.join(sets.select(F.col("sid").alias(f"{k}_sid"), F.col("set").alias(f"{k}_set")), f"{k}_sid")
     both = F.size(F.array_intersect("l_set", "r_set"))
     near = maybe.filter((p + q) * both >= p * (F.size("l_set") + F.size("r_set"))).select("l_sid", "r_sid")
     for k in "lr":

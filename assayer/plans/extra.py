@@ -250,18 +250,28 @@ def j5(spark, d):
     return units(spark, d).select("id", "qid", why.alias("why"))
 
 
+J8_GRID = [(f, m, e) for f in (None, 0.45, 0.55, 0.7, 0.85) for m in (None, 0.2) for e in (None, 0.9)]
+J8_ROWS = ", ".join(f"({i}, " + ", ".join("NULL::DOUBLE" if x is None else f"{x}::DOUBLE" for x in point) + ")" for i, point in enumerate(J8_GRID))
+
+
 @query(
     "j8_typed_gate_fit",
-    f"""WITH {UNITS}, g(i, f) AS (VALUES (0, NULL::DOUBLE), (1, 0.45), (2, 0.55), (3, 0.7), (4, 0.85)), s AS (SELECT u.kind, g.i, avg((g.f IS NULL OR top >= g.f)::INT) AS cov, avg(ok::INT) FILTER (WHERE g.f IS NULL OR top >= g.f) AS acc FROM u, g GROUP BY ALL)
-SELECT kind, i::INT AS grid, round(cov, 6) AS coverage, round(acc, 6) AS accuracy FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY round(acc, 9) DESC, round(cov, 9) DESC, i) AS n FROM s WHERE acc IS NOT NULL AND cov + 1e-9 >= 0.5) WHERE n = 1""",
+    f"""WITH {UNITS}, g(grid, f, m, e) AS (VALUES {J8_ROWS}),
+a AS (SELECT u.kind, g.grid, CASE WHEN md5(id) < '8' THEN 'fit' ELSE 'selection' END AS fold, ok, coalesce(top >= f, true) AND coalesce(top - second >= m, true) AND coalesce(ent <= e, true) AS answered FROM u, g),
+s AS (SELECT kind, fold, grid, avg(answered::INT) AS cov, avg(ok::INT) FILTER (WHERE answered) AS acc FROM a GROUP BY ALL),
+b AS (SELECT kind, grid FROM s WHERE fold = 'fit' AND acc IS NOT NULL AND cov + 1e-9 >= 0.5 QUALIFY row_number() OVER (PARTITION BY kind ORDER BY round(acc, 9) DESC, round(cov, 9) DESC, grid) = 1)
+SELECT kind, grid::INT AS grid, fold, round(cov, 6) AS coverage, round(acc, 6) AS accuracy FROM s JOIN b USING (kind, grid)""",
 )
 def j8(spark, d):
-    """Per kind the feasible point of best selective accuracy, then coverage, then first in the grid; one job."""
-    grid = spark.createDataFrame([(0, None), (1, 0.45), (2, 0.55), (3, 0.7), (4, 0.85)], "grid int, f double")
-    x = units(spark, d).crossJoin(F.broadcast(grid)).withColumn("answered", F.coalesce(F.col("top") >= F.col("f"), F.lit(True)))
-    s = x.groupBy("kind", "grid").agg(F.avg(F.col("answered").cast("double")).alias("cov"), F.avg(F.when(F.col("answered"), F.col("ok").cast("double"))).alias("acc")).filter("acc IS NOT NULL AND cov + 1e-9 >= 0.5")
-    best = s.groupBy("kind").agg(F.min(F.struct((-F.round("acc", 9)).alias("a"), (-F.round("cov", 9)).alias("c"), "grid", "cov", "acc")).alias("r"))
-    return best.select("kind", "r.grid", r6(F.col("r.cov")).alias("coverage"), r6(F.col("r.acc")).alias("accuracy"))
+    """Per kind the feasible point of best selective accuracy on the fit fold, then coverage, then first in the grid; the selection fold is reported, never looked at."""
+    grid = spark.createDataFrame([(i, *point) for i, point in enumerate(J8_GRID)], "grid int, f double, m double, e double")
+    yes = lambda c: F.coalesce(c, F.lit(True))
+    x = units(spark, d).withColumn("fold", F.when(F.md5("id") < "8", "fit").otherwise("selection")).crossJoin(F.broadcast(grid))  # 20 points
+    x = x.withColumn("answered", yes(F.col("top") >= F.col("f")) & yes(F.col("top") - F.col("second") >= F.col("m")) & yes(F.col("ent") <= F.col("e")))
+    s = x.groupBy("kind", "fold", "grid").agg(F.avg(F.col("answered").cast("double")).alias("cov"), F.avg(F.when(F.col("answered"), F.col("ok").cast("double"))).alias("acc"))
+    can = s.filter("fold = 'fit' AND acc IS NOT NULL AND cov + 1e-9 >= 0.5")
+    best = can.groupBy("kind").agg(F.min(F.struct((-F.round("acc", 9)).alias("a"), (-F.round("cov", 9)).alias("c"), "grid"))["grid"].alias("grid"))
+    return s.join(best, ["kind", "grid"]).select("kind", "grid", "fold", r6(F.col("cov")).alias("coverage"), r6(F.col("acc")).alias("accuracy"))
 
 
 FORMATS = f"""{JUDGED}, f AS (SELECT m.weight_bits, count(*) FILTER (WHERE wrong_operation OR wrong_arguments)::DOUBLE / count(*) AS wrong, avg("right"::INT) FILTER (WHERE kind = 'operation') AS rate, quantile_disc(latency_ms, 0.5) FILTER (WHERE latency_ms >= 0 AND NOT isnan(latency_ms)) AS ms FROM j JOIN models m USING (model) GROUP BY 1)"""

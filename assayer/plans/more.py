@@ -9,7 +9,7 @@ from assayer.functions import labels as L
 from assayer.functions import text as T
 from assayer.operators import bootstrap, calibration
 from assayer.operators.ranking import quota, rank_by_hash, running
-from assayer.plans.base import CANON, GOLD, JUDGED, KIND, P, S, entries, judged, preds, query, quota_sql, r6
+from assayer.plans.base import CANON, GOLD, JUDGED, KIND, P, S, entries, judged, preds, query, quota_sql, r6, slim
 from assayer.plans.metrics import SLICED, sliced
 from assayer.plans.text import SW, sided, worded
 from assayer.runtime import table
@@ -294,3 +294,22 @@ def j3(spark, d):
     got = calibration.select_calibration(j.filter("fold = 'fit'"), j.filter("fold = 'selection'"))
     rows = [("temperature", "", got["temperature"]), *(("vector", k, v) for k, v in sorted(got["vector"].items())), *(("ece", k, v) for k, v in got["errors"].items())]
     return spark.createDataFrame(rows, "part string, label string, value double").withColumn("kept", F.lit(got["kept"]))
+
+
+@query("d2_point_values", f"WITH {JUDGED} SELECT model, count(*) AS n, round(avg(\"right\"::INT), 6) AS mean FROM j WHERE kind = 'operation' GROUP BY model")
+def d2_points(spark, d):
+    """What the interval of d2 stands around."""
+    return slim(spark, d, "model", F.col("right").cast("double").alias("v"), where="kind = 'operation'").groupBy("model").agg(F.count("*").alias("n"), r6(F.avg("v")).alias("mean"))
+
+
+@query("d3_point_values", f"WITH {JUDGED} SELECT model, count(*) FILTER (WHERE escalated) AS calls, round(count(*) FILTER (WHERE escalated AND kind = 'escalate')::DOUBLE / nullif(count(*) FILTER (WHERE escalated), 0), 6) AS ratio FROM j WHERE kind != 'explain' GROUP BY model")
+def d3_points(spark, d):
+    hit, every = F.count_if(F.col("escalated") & (F.col("kind") == "escalate")), F.count_if("escalated")
+    return slim(spark, d, "model", "kind", "escalated", where="kind != 'explain'").groupBy("model").agg(every.alias("calls"), r6(F.try_divide(hit, every)).alias("ratio"))
+
+
+@query("d4_point_values", f"WITH {JUDGED}, v AS (SELECT id, model, avg(\"right\"::INT) AS v FROM j GROUP BY ALL) SELECT a.model, count(*) AS n, round(avg(a.v - b.v), 6) AS difference FROM v a JOIN v b ON a.id = b.id AND b.model = 'scorer-main' AND a.model != 'scorer-main' GROUP BY a.model")
+def d4_points(spark, d):
+    v = slim(spark, d, "id", "model", F.col("right").cast("double").alias("v")).groupBy("id", "model").agg(F.avg("v").alias("v"))
+    b = v.filter("model = 'scorer-main'").select("id", F.col("v").alias("b"))
+    return v.filter("model != 'scorer-main'").join(b, "id").groupBy("model").agg(F.count("*").alias("n"), r6(F.avg(F.col("v") - F.col("b"))).alias("difference"))

@@ -10,10 +10,9 @@ import pytest
 from assayer.plans import registry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SHOWN = [
-    "a2_violations", "a10_typed_questions", "b4_argument_validation", "b12_missing_candidate_slice", "c2_similarity_join", "c8_gold_teacher", "c29_inventory_compare", "d1_metric_block", "d5_ece_bins", "d8_calibration_by_slice",
-    "d10_timing", "d15_macro_f1", "d16_jensen_shannon", "d37_row_metrics", "e2_gate_argmax", "e6_latest_label", "e12_vote_replay", "h2_shingles", "h14_row_nll", "i1_stratified_split", "j6_redecide", "j7_threshold_sweep", "k8_stream", "k8_sessions",
-]
+
+
+MAY_BE_EMPTY = {"a7_wordless_rows", "c1_first_match", "c2_similarity_join", "c3_duplicate_lookup", "k3_resumed_ids"}  # on the smallest tables; the larger ones have rows
 
 
 def plain(v):
@@ -38,7 +37,7 @@ def duck():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", SHOWN)
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_equals_sql(spark, duck, name):
     df = registry.queries()[name](spark, SF)
     cols = sorted(df.columns)
@@ -48,6 +47,7 @@ def test_equals_sql(spark, duck, name):
     assert sorted(names) == cols
     want = sorted((tuple(plain(x[names.index(c)]) for c in cols) for x in r.fetchall()), key=repr)
     assert got == want
+    assert got or name in MAY_BE_EMPTY, "an empty result proves nothing"
 
 
 def test_every_query_but_fits_has_sql():
