@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MOST_LINES = 5000
+
+
 class SealedError(ValueError):
     """Sealed data was about to be read; the message names ids only, never text."""
 
@@ -38,8 +41,10 @@ def verdict(summary: Mapping) -> tuple[str, str]:
 
 
 def markdown(df: DataFrame, title: str, order: Sequence[str]) -> str:
-    """A report table; its rows are groups of a report, a few hundred by contract."""
-    rows = df.orderBy(*order).collect()
+    """A report table; its rows are groups of a report. More than MOST_LINES are refused, not cut."""
+    rows = df.orderBy(*order).limit(MOST_LINES + 1).collect()
+    if len(rows) > MOST_LINES:
+        raise ValueError(f"a report has at most {MOST_LINES} lines")
     show = lambda v: "" if v is None else f"{v:.4f}".rstrip("0").rstrip(".") if isinstance(v, float) else str(v)
     lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     return "\n".join([*lines, *("| " + " | ".join(show(v) for v in r) + " |" for r in rows)])

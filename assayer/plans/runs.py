@@ -12,9 +12,9 @@ from assayer.functions import labels as L
 from assayer.functions import text as T
 from assayer.operators import rules, seams
 from assayer.operators.ranking import running
-from assayer.plans.base import JUDGED, P, S, entries, judged, preds, query, r6
+from assayer.plans.base import JUDGED, P, S, entries, judged, preds, query, r6, slim
 from assayer.plans.text import SIDE, side
-from assayer.runtime import shared_dir, table
+from assayer.runtime import cut_lineage, shared_dir, table
 from assayer.sources import sinks
 
 
@@ -261,3 +261,106 @@ def j15(spark, d):
     k = F.row_number().over(Window.partitionBy("id", "model").orderBy("pos"))  # a model has a few answers an entry
     two = g.withColumn("k", k).filter("k <= 2").groupBy("id", "model").agg(F.count("*").alias("n"), F.min(F.struct("k", "operation")).alias("a"), F.max(F.struct("k", "operation")).alias("b")).filter("n = 2")
     return two.groupBy("model").agg(F.count("*").alias("replayed"), F.count_if(F.col("a.operation").eqNullSafe(F.col("b.operation"))).alias("same"))
+
+
+# ----------------------------------------------------------------------------------- backbones, endpoints, live worlds
+
+
+class _Stub:
+    """A backbone without a model: it prefers the label whose digest with the prompt is least."""
+
+    name = "stub"
+
+    def render(self, record):
+        return f"{record['kind']}: {record['text']}"
+
+    def predict(self, prompts):
+        import hashlib
+
+        return [min(("call", "explain", "hand over"), key=lambda c, p=p: hashlib.md5(f"{p}|{c}".encode()).hexdigest()) for p in prompts]
+
+
+STUB = "list_sort([{'h': md5(kind || ': ' || text || '|call'), 'c': 'call'}, {'h': md5(kind || ': ' || text || '|explain'), 'c': 'explain'}, {'h': md5(kind || ': ' || text || '|hand over'), 'c': 'hand over'}])[1].c"
+
+
+@query("l1_backbone", f"WITH {S} SELECT id, length(kind || ': ' || text)::BIGINT AS prompt, {STUB} AS choice FROM s WHERE text IS NOT NULL AND kind IS NOT NULL")
+def l1(spark, d):
+    """Records rendered and predicted batch by batch by whatever fits the Backbone protocol, made once a task."""
+
+    def make():
+        model = _Stub()
+
+        def run(b: pd.DataFrame) -> pd.DataFrame:
+            prompts = [model.render(r) for r in b.to_dict("records")]
+            return pd.DataFrame({"id": b["id"], "prompt": [len(p) for p in prompts], "choice": model.predict(prompts)})
+
+        return run
+
+    return rules.scored(entries(spark, d).filter("text IS NOT NULL AND kind IS NOT NULL").select("id", "kind", "text"), make, "id string, prompt long, choice string")
+
+
+@query("a30_endpoint_answers", f"WITH {S} SELECT answer, count(*) AS n FROM (SELECT CASE WHEN text IS NULL OR trim(text) = '' THEN 'refused' WHEN length(text) > 200 THEN 'too_long' ELSE 'answered' END AS answer FROM s) GROUP BY answer")
+def a30(spark, d):
+    """Rows from an endpoint, here a local stand-in: what it refuses is a row too, never a failed task."""
+
+    def make():
+        service = seams.Services(ask=lambda r: "refused" if not (r["text"] or "").strip(" ") else "too_long" if len(r["text"]) > 200 else "answered")
+        return lambda b: pd.DataFrame({"answer": [service.call("ask", r) for r in b.to_dict("records")]})
+
+    return rules.scored(entries(spark, d).select("text"), make, "answer string").groupBy("answer").agg(F.count("*").alias("n"))
+
+
+WORLD = ("pump", "kiln", "winch", "weighbridge", "freezer", "conveyor")
+
+
+@query("l7_live_lookup", f"WITH {S}, a AS (SELECT id, lower(e.value) AS v FROM (SELECT id, unnest(map_entries(expect.args)) AS e FROM s WHERE expect.args IS NOT NULL) WHERE e.key = 'unit') SELECT v AS unit, v IN {WORLD} AS known, count(*) AS n FROM a GROUP BY ALL")
+def l7(spark, d):
+    """Values of a ground kind, asked of the world once on the driver and sent along as a literal: a world is a few dozen names by contract."""
+    world = seams.Services(world=lambda kind: WORLD if kind == "unit" else ()).call("world", "unit")
+    a = entries(spark, d).filter("expect.args IS NOT NULL").select(F.explode("expect.args").alias("key", "v")).filter("key = 'unit'").select(F.lower("v").alias("unit"))
+    return a.groupBy("unit", F.col("unit").isin(*world).alias("known")).agg(F.count("*").alias("n"))
+
+
+@query("m3_sides_pools_models", f"WITH {JUDGED}, {S}, x AS (SELECT coalesce({SIDE}, 'none') AS side, s.kind AS pool, j.model, \"right\", escalated FROM j JOIN s USING (id)) SELECT side, pool, model, count(*) AS n, count(*) FILTER (WHERE \"right\") AS ok, count(*) FILTER (WHERE escalated) AS escalated FROM x GROUP BY ALL")
+def m3(spark, d):
+    e = entries(spark, d).select("id", F.coalesce(side(), F.lit("none")).alias("side"), F.col("kind").alias("pool"))
+    x = slim(spark, d, "id", "model", "right", "escalated").join(e, "id")
+    return x.groupBy("side", "pool", "model").agg(F.count("*").alias("n"), F.count_if("right").alias("ok"), F.count_if("escalated").alias("escalated"))
+
+
+@query("m1_gate_report", f"WITH {JUDGED}, m AS (SELECT model, count(*) AS n, count(*) FILTER (WHERE wrong_operation OR wrong_arguments) AS wrong, count(*) FILTER (WHERE kind = 'escalate') AS asked, count(*) FILTER (WHERE kind = 'escalate' AND escalated) AS caught FROM j WHERE model IS NOT NULL GROUP BY model) SELECT model, n, wrong, round(caught::DOUBLE / nullif(asked, 0), 6) AS recall, CASE WHEN asked = 0 THEN 'not_applicable' WHEN wrong = 0 AND caught * 2 >= asked THEN 'pass' WHEN wrong = 0 THEN 'reported' ELSE 'fail' END AS gate FROM m")
+def m1(spark, d):
+    a = slim(spark, d, "model", "kind", "escalated", (F.col("wrong_operation") | F.col("wrong_arguments")).alias("bad"), where="model IS NOT NULL").groupBy("model").agg(
+        F.count("*").alias("n"), F.count_if("bad").alias("wrong"), F.count_if(F.col("kind") == "escalate").alias("asked"), F.count_if((F.col("kind") == "escalate") & F.col("escalated")).alias("caught")
+    )
+    gate = F.when(F.col("asked") == 0, "not_applicable").when((F.col("wrong") == 0) & (F.col("caught") * 2 >= F.col("asked")), "pass").when(F.col("wrong") == 0, "reported").otherwise("fail")
+    return a.select("model", "n", "wrong", r6(F.try_divide("caught", "asked")).alias("recall"), gate.alias("gate"))
+
+
+TRAIL = f"""{JUDGED}, m AS (SELECT model, round(avg((wrong_operation OR wrong_arguments)::INT), 9) AS w, round(coalesce(avg("right"::INT) FILTER (WHERE kind = 'operation'), 0), 9) AS r, round(coalesce(avg(escalated::INT) FILTER (WHERE kind = 'escalate'), 0), 9) AS c, round(coalesce(avg(tokens) FILTER (WHERE tokens >= 0), 1e9), 6) AS t FROM j WHERE model IS NOT NULL GROUP BY model),
+s1 AS (SELECT * FROM m WHERE w <= (SELECT min(w) FROM m) + 0.05), s2 AS (SELECT * FROM s1 WHERE r >= 0.01), s3 AS (SELECT * FROM s2 WHERE r >= (SELECT max(r) FROM s2) - 0.05),
+s4 AS (SELECT * FROM s3 WHERE c >= (SELECT max(c) FROM s3) - 0.1), s5 AS (SELECT * FROM s4 WHERE t <= (SELECT min(t) FROM s4) * 1.25), s6 AS (SELECT * FROM s5 WHERE model = (SELECT min(model) FROM s5))"""
+
+
+@query("j9_survivor_trail", f"WITH {TRAIL} SELECT * FROM (" + " UNION ALL ".join(f"SELECT {k} AS step, count(*) AS survivors, min(model) AS first FROM s{k}" for k in range(1, 7)) + ")")
+def j9_trail(spark, d):
+    """Safety, floor, rate, recall and cost within a tolerance of the best survivor, then the name: who is left after each step. One row a model."""
+    nine = lambda c, n=9: F.round(c, n)
+    of = lambda kind, c: F.coalesce(F.avg(F.when(F.col("kind") == kind, F.col(c).cast("double"))), F.lit(0.0))
+    m = slim(spark, d, "model", "kind", "right", "escalated", "tokens", (F.col("wrong_operation") | F.col("wrong_arguments")).alias("bad"), where="model IS NOT NULL").groupBy("model").agg(
+        nine(F.avg(F.col("bad").cast("double"))).alias("w"), nine(of("operation", "right")).alias("r"), nine(of("escalate", "escalated")).alias("c"), nine(F.coalesce(F.avg(F.when(F.col("tokens") >= 0, F.col("tokens"))), F.lit(1e9)), 6).alias("t")
+    )
+    m = cut_lineage(m)  # every step reads it
+    best = lambda s, c: s.crossJoin(F.broadcast(s.agg(c.alias("_b"))))  # noqa: E731  # one row
+    steps = [
+        lambda s: best(s, F.min("w")).filter("w <= _b + 0.05"), lambda s: s.filter("r >= 0.01"), lambda s: best(s, F.max("r")).filter("r >= _b - 0.05"),
+        lambda s: best(s, F.max("c")).filter("c >= _b - 0.1"), lambda s: best(s, F.min("t")).filter("t <= _b * 1.25"), lambda s: best(s, F.min("model")).filter("model = _b"),
+    ]
+    s, trail = m, []
+    for k, step in enumerate(steps, 1):
+        s = step(s).select("model", "w", "r", "c", "t")
+        trail.append(s.agg(F.lit(k).alias("step"), F.count("*").alias("survivors"), F.min("model").alias("first")))
+    out = trail[0]
+    for x in trail[1:]:
+        out = out.unionByName(x)
+    return out
