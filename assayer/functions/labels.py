@@ -188,7 +188,11 @@ def wilson(correct: Column, n: Column, z: float = 1.959964) -> tuple[Column, Col
 
 
 def fake_quantised(values: Column, bits: int) -> Column:
-    """Symmetric rounding of a vector to steps of its largest magnitude over 2 ** (bits - 1) - 1, half to even, as real numbers again."""
+    """Symmetric rounding of a vector to steps of its largest magnitude over 2 ** (bits - 1) - 1, half to even, as real numbers again.
+
+    A negative number that becomes zero is -0.0, which Spark's round would make 0.0.
+    """
     top = F.array_max(F.transform(values, lambda x: F.abs(x)))
     step = top / ((1 << (bits - 1)) - 1)
-    return F.when(top == 0, F.transform(values, lambda _: F.lit(0.0))).otherwise(F.transform(values, lambda x: F.round(F.rint(x / step) * step, 6)))
+    signed = lambda y: F.when(F.round(y, 6) == 0, y * 0.0).otherwise(F.round(y, 6))
+    return F.when(top == 0, F.transform(values, lambda _: F.lit(0.0))).otherwise(F.transform(values, lambda x: signed(F.rint(x / step) * step)))

@@ -45,3 +45,9 @@ def test_scaling_and_targets(spark):
     )
     assert math.isclose(got["t"]["a"], math.sqrt(0.8) / (math.sqrt(0.8) + math.sqrt(0.2))) and got["n"] is None
     assert got["o"] == [0.9, 0.1, 0.0] and got["s"] == [0.0, 1.0] and got["p"] == [1.0, 2.0, 3.0]
+
+
+def test_fake_quantisation_keeps_the_sign_of_zero(spark):
+    rows = [([1.4, -0.01, 0.01, -1.4],), ([1e-8, -1e-8],), ([-0.0, 0.0],), ([],), ([None, -7.0, -0.1],)]
+    got = [r["q"] for r in spark.createDataFrame(rows, "e array<double>").select(L.fake_quantised(F.col("e"), 4).alias("q")).collect()]
+    assert [[repr(x) for x in q] for q in got] == [["1.4", "-0.0", "0.0", "-1.4"], ["0.0", "-0.0"], ["0.0", "0.0"], [], ["None", "-7.0", "-0.0"]]
