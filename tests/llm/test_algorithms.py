@@ -456,3 +456,10 @@ def test_records(spark):
     ]
     names = spark.createDataFrame([("Central-Desk 1",), ("central desk_1",), ("N/A",), (" ",), (None,)], "n string")
     assert [r["k"] for r in names.select(R.name_key(F.col("n")).alias("k")).collect()] == ["centraldesk1", "centraldesk1", None, None, None]
+
+
+def test_words_are_sorted_without_a_comparator_and_questions_read_once(spark):
+    df = spark.createDataFrame([("a", '{"q":{"instructions":"b a","criteria":{"k":"v"}}}')], "id string, questions string")
+    plan = R.with_words(df.select("id", R.question_text(F.col("questions")).alias("text")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "comparator" not in plan and "array_sort" not in plan
+    assert plan.count("StructField(instructions") == 1 and plan.count("StructField(criteria") == 1
