@@ -463,3 +463,12 @@ def test_words_are_sorted_without_a_comparator_and_questions_read_once(spark):
     plan = R.with_words(df.select("id", R.question_text(F.col("questions")).alias("text")))._jdf.queryExecution().optimizedPlan().toString()
     assert "comparator" not in plan and "array_sort" not in plan
     assert plan.count("StructField(instructions") == 1 and plan.count("StructField(criteria") == 1
+
+
+def test_sides_meet_once_and_only_each_other():
+    side = np.array([1, 2, 3, 1, 2, 3], np.int32)
+    x, y = np.arange(6), np.array([5, 3, 1, 0, 2, 4])
+    met = [(i, j) for a, b in neardup.sided(x, y, side) for i in a.tolist() for j in b.tolist()]
+    assert len(met) == len(set(met))
+    assert set(met) == {(i, j) for i in range(6) for j in range(6) if side[i] & 1 and side[j] & 2 or side[i] & 2 and side[j] & 1}
+    assert not list(neardup.sided(x[[0, 3]], y[[1, 3]], side)), "one side has no pairs to test"
